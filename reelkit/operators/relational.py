@@ -8,9 +8,10 @@ Scale notes
 * Per-group top-N uses ``row_number() <= n``; Spark plans a partial
   ``WindowGroupLimit`` before the shuffle, so a hot group ships at most
   n rows per map partition.
-* Exact positions inside groups (stratified split, surrogate ids) use a range
-  partitioning on (group, order) so a group holding a third of all rows is
-  spread over many tasks; per-partition counts give the offsets.
+* Exact positions inside groups (stratified split, surrogate ids) cut big
+  groups into deterministic slices (hash prefixes, key ranges) so a group
+  holding a third of all rows is numbered by many tasks; a small per-slice
+  count table gives the offsets.
 """
 
 from __future__ import annotations
@@ -82,35 +83,47 @@ def sample_per_group(df: DataFrame, group: str, key: str, n: int, seed: int = 42
 # exact positions inside groups, skew-safe
 # --------------------------------------------------------------------------
 
-def position_in_group(df: DataFrame, group, order: Sequence[str], pos_col: str = "pos",
-                      num_partitions: int | None = None) -> DataFrame:
+def position_in_group(df: DataFrame, group, order: Sequence[str], slice_expr: Column,
+                      pos_col: str = "pos") -> DataFrame:
     """1-based position of every row inside its group under ``order`` (a total order).
 
     A plain ``row_number().over(partitionBy(group))`` puts a whole group in one
-    task.  Here rows are range-partitioned on (group, order) so a hot group is
-    cut into many partitions; each partition numbers its slice locally and adds
-    the number of rows of the same group in earlier partitions.  The tables of
-    per-partition counts have at most (#groups + #partitions) rows.
+    task.  Here each group is cut into slices by ``slice_expr``, which must be
+    non-decreasing along ``order`` (e.g. a prefix of the hash the rows are
+    ordered by, longer for bigger groups).  Rows are numbered inside their
+    slice and shifted by the sizes of the earlier slices of the same group,
+    taken from a small per-slice count table.  Everything is a deterministic
+    function of the data, so the result is the same in every branch of a plan
+    and after a task retry.
     """
     group = _cols(group)
-    order = _cols(order)
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *group, *order).withColumn("_pid", F.spark_partition_id())
-    counts = ranged.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", *group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = ranged.withColumn("_local", F.row_number().over(
-        Window.partitionBy("_pid", *group).orderBy(*order)))
-    keys = ["_pid", *group]
-    return (local.join(offsets, keys)
+    d = df.withColumn("_slice", slice_expr)
+    counts = d.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*group, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    local = d.withColumn("_local", F.row_number().over(
+        Window.partitionBy(*group, "_slice").orderBy(*order)))
+    return (local.join(offsets, [*group, "_slice"])
                  .withColumn(pos_col, F.col("_off") + F.col("_local"))
-                 .drop("_pid", "_off", "_local"))
+                 .drop("_slice", "_off", "_local"))
 
 
-def surrogate_id(df: DataFrame, order: Sequence[str], id_col: str = "movieId") -> DataFrame:
-    """Dense 1..n id following a total order, without a single-task window."""
-    return position_in_group(df, [], order, pos_col=id_col)
+def hash_slice(hex_hash: Column, group_size: Column, target: int = 100_000) -> Column:
+    """Slice key for ``position_in_group`` when rows are ordered by a hex hash.
+
+    Groups up to ``target`` rows get one slice (''); bigger ones use the first
+    L hex digits with 16^L >= size/target, so slices stay near ``target`` rows.
+    """
+    digits = F.ceil(F.log(16.0, F.greatest(F.lit(1.0), group_size.cast("double") / target))).cast("int")
+    return F.when(group_size <= target, F.lit("")).otherwise(F.substr(hex_hash, F.lit(1), digits))
+
+
+def surrogate_id(df: DataFrame, order: str, id_col: str = "movieId", width: int = 100_000) -> DataFrame:
+    """Dense 1..n id following a numeric key, without a single-task window.
+
+    Slices are key ranges of ``width``; the slice-count table has n/width rows.
+    """
+    return position_in_group(df, [], [order], F.floor(F.col(order) / width), pos_col=id_col)
 
 
 # --------------------------------------------------------------------------
@@ -135,6 +148,5 @@ def keep_groups_with_at_least(df: DataFrame, group: str, k: int, fallback_all: b
     kept = df.join(qualifying, group, "left_semi")
     if not fallback_all:
         return kept
-    any_ok = scalar(counts, F.max(F.col("_cnt")) >= k)
-    return df.join(qualifying, group, "left_semi").filter(any_ok).unionByName(
-        df.filter(~F.coalesce(any_ok, F.lit(False))))
+    any_ok = F.coalesce(scalar(counts, F.max(F.col("_cnt")) >= k), F.lit(False))
+    return kept.filter(any_ok).unionByName(df.filter(~any_ok))

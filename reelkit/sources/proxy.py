@@ -8,7 +8,8 @@ independently from the same definition:
 
 ratings(rating_id, user_id, movie_id, rating)
     orders join lineitem; user = o_custkey, movie = l_partkey,
-    rating = 1 + (floor(l_quantity) - 1) % 5, rating_id = l_orderkey*8 + l_linenumber
+    rating = 1 + (floor(l_quantity) - 1) % 5, rating_id = text key of the lineitem row
+    (order, line, part, supplier, quantity, cents); (order, line) alone repeats
 users(user_id, age, sex, occupation)
     customer; sex by parity of the nation key, occupation = market segment
 movies_raw(id, title, overview_id, genres, release_date, budget, revenue,
@@ -44,10 +45,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    rating_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                            F.floor("l_quantity").cast("bigint"),
+                            F.round(F.col("l_extendedprice") * 100).cast("bigint"))
     return (li.join(od, li.l_orderkey == od.o_orderkey)
-              .select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("rating_id"),
+              .select(rating_id.alias("rating_id"),
                       F.col("o_custkey").alias("user_id"),
                       F.col("l_partkey").alias("movie_id"),
                       (F.lit(1) + (F.floor("l_quantity").cast("int") - 1) % 5).cast("int")
@@ -169,7 +173,9 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_VIEWS = {
     "ratings": """
-        SELECT l.l_orderkey * 8 + l.l_linenumber AS rating_id,
+        SELECT concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
+                         CAST(floor(l.l_quantity) AS BIGINT),
+                         CAST(round(l.l_extendedprice * 100) AS BIGINT)) AS rating_id,
                o.o_custkey AS user_id, l.l_partkey AS movie_id,
                CAST(1 + (CAST(floor(l.l_quantity) AS INTEGER) - 1) % 5 AS INTEGER) AS rating
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
