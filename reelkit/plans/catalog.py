@@ -51,4 +51,4 @@ def W(*views: str) -> str:  # noqa: N802 - reads like SQL's WITH
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from reelkit.plans import queries_charts, queries_ratings  # noqa: F401
+    from reelkit.plans import queries_charts, queries_content, queries_ratings  # noqa: F401

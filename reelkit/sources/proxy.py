@@ -91,7 +91,7 @@ def movies_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("[{'id': "), F.col("p_size").cast("string"), F.lit(", 'name': '"),
         F.initcap(F.col("p_type")), F.lit("'}, {'id': "),
         F.regexp_extract("p_brand", r"(\d+)", 1), F.lit(", 'name': '"),
-        F.col("p_brand"), F.lit("'}]")))
+        F.replace(F.col("p_brand"), F.lit("#"), F.lit(" ")), F.lit("'}]")))
     budget = (F.when(k % 13 == 0, F.lit(""))
                .when(k % 17 == 0, F.lit("/poster.jpg"))
                .when(k % 19 == 0, F.lit(" 1e3 "))
@@ -198,7 +198,7 @@ SQL_VIEWS = {
                     ELSE '[{''id'': ' || CAST(p.p_size AS VARCHAR) || ', ''name'': '''
                          || upper(p.p_type[1]) || lower(p.p_type[2:]) || '''}, {''id'': '
                          || regexp_extract(p.p_brand, '(\\d+)', 1) || ', ''name'': '''
-                         || p.p_brand || '''}]' END AS genres,
+                         || replace(p.p_brand, '#', ' ') || '''}]' END AS genres,
                strftime(s.first_date, '%Y-%m-%d') AS release_date,
                CASE WHEN p.p_partkey % 13 = 0 THEN ''
                     WHEN p.p_partkey % 17 = 0 THEN '/poster.jpg'
@@ -220,13 +220,44 @@ SQL_VIEWS = {
                coalesce(year(try_strptime(release_date, '%Y-%m-%d')), 0) AS year
         FROM movies_raw
         WHERE regexp_full_match(trim(id), '[+-]?\\d+')""",
+    "cast_members": """
+        SELECT l_partkey,
+               string_agg('{''cast_id'': ' || CAST(rk AS VARCHAR) || ', ''name'': '''
+                          || upper(n_name[1]) || lower(n_name[2:]) || ' ' || CAST(s_suppkey AS VARCHAR)
+                          || '''}', ', ' ORDER BY rk) AS members,
+               arg_min(upper(n_name[1]) || lower(n_name[2:]), rk) AS first_nation
+        FROM (SELECT d.l_partkey, d.l_suppkey,
+                     row_number() OVER (PARTITION BY d.l_partkey ORDER BY d.l_suppkey) AS rk
+              FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) d) sp
+        JOIN supplier s ON s.s_suppkey = sp.l_suppkey
+        JOIN nation n ON n.n_nationkey = s.s_nationkey
+        WHERE rk <= 5
+        GROUP BY l_partkey""",
+    "credits": """
+        SELECT p.p_partkey AS id, '[' || coalesce(c.members, '') || ']' AS "cast",
+               CASE WHEN c.first_nation IS NULL THEN '[]'
+                    WHEN p.p_size % 5 = 0 THEN '[' || pr.producer || ']'
+                    WHEN p.p_size % 7 = 0 THEN '[' || pr.producer || ', {''job'': ''Director'', ''name'': '''
+                         || c.first_nation || '''}, {''job'': ''Director'', ''name'': ''Second Unit''}]'
+                    ELSE '[' || pr.producer || ', {''job'': ''Director'', ''name'': '''
+                         || c.first_nation || '''}]' END AS crew
+        FROM part p
+        LEFT JOIN cast_members c ON c.l_partkey = p.p_partkey
+        CROSS JOIN LATERAL (SELECT '{''job'': ''Producer'', ''name'': ''Studio '
+                                   || CAST(p.p_partkey % 7 AS VARCHAR) || '''}' AS producer) pr""",
+    "keywords": """
+        SELECT p_partkey AS id,
+               '[{''id'': 1, ''name'': ''' || string_split(p_name, ' ')[1]
+               || '''}, {''id'': 2, ''name'': ''' || string_split(p_name, ' ')[-1]
+               || '''}, {''id'': 3, ''name'': ''' || lower(p_type) || ' style''}]' AS keywords
+        FROM part""",
     "overviews": """
         SELECT doc_id AS id, 'Doc ' || CAST(doc_id AS VARCHAR) AS title, text AS overview
         FROM documents""",
 }
 
 # Which views each view needs (for assembling WITH clauses in order).
-_SQL_DEPS = {"movies_raw": ["sales"], "movies": ["movies_raw"]}
+_SQL_DEPS = {"movies_raw": ["sales"], "movies": ["movies_raw"], "credits": ["cast_members"]}
 
 
 def sql_with(*views: str) -> str:
