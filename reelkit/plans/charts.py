@@ -126,3 +126,19 @@ def knowledge_chart_from_defaults(gen_df: DataFrame, percentile: float = 0.8,
     p = scalar(d, F.struct(*d.columns))
     return knowledge_chart(gen_df, p["genre"], p["low_time"], p["high_time"],
                            p["low_year"], p["high_year"], percentile)
+
+
+def year_range(gen_df: DataFrame) -> DataFrame:
+    """(min_year, max_year); min <= 0 or missing -> 1900, max missing -> 2023."""
+    return gen_df.agg(F.min("year").alias("lo"), F.max("year").alias("hi")).select(
+        F.when(F.col("lo").isNull() | (F.col("lo") <= 0), F.lit(1900)).otherwise(F.col("lo"))
+        .cast("int").alias("min_year"),
+        F.coalesce(F.col("hi"), F.lit(2023)).cast("int").alias("max_year"))
+
+
+def runtime_range(gen_df: DataFrame) -> DataFrame:
+    """(min_runtime, max_runtime) over 0 < runtime < 1000, truncated; none -> (60, 180)."""
+    valid = F.when((F.col("runtime") > 0) & (F.col("runtime") < 1000), F.col("runtime"))
+    return gen_df.agg(F.min(valid).alias("lo"), F.max(valid).alias("hi")).select(
+        F.coalesce(F.floor("lo"), F.lit(60)).cast("int").alias("min_runtime"),
+        F.coalesce(F.floor("hi"), F.lit(180)).cast("int").alias("max_runtime"))

@@ -88,7 +88,7 @@ def v3_tfidf(spark, sf_dir):
 NAME_RE = "'''name'': ''([^'']*)'''"
 DIRECTOR_RE = "'''job'': ''Director'', ''name'': ''([^'']*)'''"
 
-SOUP_SQL = W("movies_raw", "credits", "keywords") + """
+SOUP_BODY = """
 , m AS (SELECT CAST(trim(id) AS BIGINT) AS id, title, genres FROM movies_raw
         WHERE regexp_full_match(trim(id), '[+-]?\\d+'))
 , j AS (SELECT m.id, m.title, m.genres, c."cast", c.crew, k.keywords
@@ -115,6 +115,8 @@ SOUP_SQL = W("movies_raw", "credits", "keywords") + """
 , nrm AS (SELECT id, sqrt(sum(tf * tf)) AS nrm FROM tf GROUP BY id)
 , w AS (SELECT tf.id, tf.term, tf.tf / nrm.nrm AS w FROM tf JOIN nrm USING (id))
 """
+SOUP_VIEWS = ("movies_raw", "credits", "keywords")
+SOUP_SQL = W(*SOUP_VIEWS) + SOUP_BODY
 
 
 def _soups(spark, sf_dir):
