@@ -14,7 +14,7 @@ import ast
 import json
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -41,14 +41,43 @@ def _literal_to_json(s: pd.Series) -> pd.Series:
 
 
 def parse_literal_list(c, schema=MEMBER_LIST) -> Column:
-    """Python-literal list text -> typed array; unreadable -> NULL."""
+    """X1 fast path: python-literal list text -> typed array on the JVM.
+
+    Rewrites ``None/True/False`` and parses as JSON (single quotes allowed);
+    text the JSON reader cannot read comes back NULL.  Use
+    ``with_parsed_literals`` to send exactly those rows through Python.
+    """
     text = _c(c)
     jsonish = F.regexp_replace(text, r":\s*None(?=\s*[,}\]])", ": null")
     jsonish = F.regexp_replace(jsonish, r":\s*True(?=\s*[,}\]])", ": true")
     jsonish = F.regexp_replace(jsonish, r":\s*False(?=\s*[,}\]])", ": false")
-    fast = F.from_json(jsonish, schema, {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
-    slow = F.from_json(_literal_to_json(text), schema)
-    return F.when(text.isNull(), F.lit(None).cast(schema)).otherwise(F.coalesce(fast, slow))
+    return F.from_json(jsonish, schema, {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
+
+
+def with_parsed_literals(df: DataFrame, cols, schema=MEMBER_LIST, suffix: str = "") -> DataFrame:
+    """X1 with the fallback: parse each column in ``cols`` into ``<col><suffix>``.
+
+    Rows whose text the JVM path could not read are split off and parsed by
+    ``ast.literal_eval`` in an Arrow pandas UDF; only those rows reach Python
+    (a Python UDF inside a CASE would run on every row).  Text that even
+    ``literal_eval`` rejects stays NULL (D22).
+    """
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    fast = df.select("*", *[parse_literal_list(c, schema).alias(c + suffix + "__p") for c in cols])
+    failed = None
+    for c in cols:
+        cond = F.col(c).isNotNull() & F.col(c + suffix + "__p").isNull()
+        failed = cond if failed is None else (failed | cond)
+    good = fast.filter(~failed)
+    bad = fast.filter(failed)
+    for c in cols:
+        bad = bad.withColumn(c + suffix + "__p", F.coalesce(F.col(c + suffix + "__p"),
+                                                            F.from_json(_literal_to_json(F.col(c)), schema)))
+    out = good.unionByName(bad)
+    for c in cols:
+        out = out.withColumnRenamed(c + suffix + "__p", c + suffix) if suffix else \
+            out.drop(c).withColumnRenamed(c + "__p", c)
+    return out
 
 
 def names(c) -> Column:

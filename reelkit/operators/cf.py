@@ -76,24 +76,42 @@ def cell_means(ratings: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def salted_self_join(cells: DataFrame, key: str, member: str, target: int = 2000,
-                     left_prefix: str = "a_", right_prefix: str = "b_") -> DataFrame:
+                     left_prefix: str = "a_", right_prefix: str = "b_",
+                     upper_only: bool = False) -> DataFrame:
     """All (a, b) member pairs sharing ``key``, with hot keys split across tasks.
 
     b = ceil(count(key) / target) slices per side; cold keys (b = 1) are not
-    replicated.  Output columns: key, a_<col>, b_<col> for every other column.
+    replicated, so their pairs come from one plain equi-join.  A hot key's
+    b x b slice pairs are separate join keys, so no task holds its whole
+    k x k block.  With ``upper_only`` each unordered pair {a, b} (a != b) is
+    produced once, as a < b (only slice pairs with left <= right are built),
+    halving the work for symmetric measures.
+    Output columns: key, a_<col>, b_<col> for every other column.
     """
     sizes = cells.groupBy(key).agg(F.count(F.lit(1)).alias("_k"))
     sized = cells.join(sizes, key).withColumn(
         "_b", F.greatest(F.lit(1), F.ceil(F.col("_k") / F.lit(target))).cast("int"))
     slice_of = (F.pmod(F.xxhash64(F.col(member)), F.col("_b"))).cast("int")
     others = [c for c in cells.columns if c != key]
-    left = sized.select(key, slice_of.alias("_sa"),
-                        F.explode(F.sequence(F.lit(0), F.col("_b") - 1)).alias("_sb"),
+    last = F.col("_b") - 1
+    # left rows of slice s meet right slices s..b-1 (upper) or 0..b-1 (all)
+    left_partners = F.sequence(slice_of if upper_only else F.lit(0), last)
+    right_partners = F.sequence(F.lit(0), slice_of if upper_only else last)
+    left = sized.select(key, slice_of.alias("_sa"), F.explode(left_partners).alias("_sb"),
                         *[F.col(c).alias(left_prefix + c) for c in others])
-    right = sized.select(key, slice_of.alias("_sb"),
-                         F.explode(F.sequence(F.lit(0), F.col("_b") - 1)).alias("_sa"),
+    right = sized.select(key, slice_of.alias("_sb"), F.explode(right_partners).alias("_sa"),
                          *[F.col(c).alias(right_prefix + c) for c in others])
-    return left.join(right, [key, "_sa", "_sb"]).drop("_sa", "_sb")
+    out = left.join(right, [key, "_sa", "_sb"])
+    if upper_only:
+        a, b = F.col(left_prefix + member), F.col(right_prefix + member)
+        out = out.filter((F.col("_sa") < F.col("_sb")) | (a < b))
+        out = out.select(key, F.least(a, b).alias(left_prefix + member), F.greatest(a, b).alias(right_prefix + member),
+                         *[F.when(a < b, F.col(left_prefix + c)).otherwise(F.col(right_prefix + c))
+                           .alias(left_prefix + c) for c in others if c != member],
+                         *[F.when(a < b, F.col(right_prefix + c)).otherwise(F.col(left_prefix + c))
+                           .alias(right_prefix + c) for c in others if c != member])
+        return out
+    return out.drop("_sa", "_sb")
 
 
 def user_pair_stats(cells: DataFrame, target: int = 2000) -> DataFrame:
