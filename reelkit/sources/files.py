@@ -144,13 +144,13 @@ def _csv_ready(df: DataFrame) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by=None) -> None:
+                partition_by=None, header: bool = True) -> None:
     """Write a table (Parquet default; CSV with header, arrays as JSON)."""
     w = (_csv_ready(df) if fmt == "csv" else df).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", header).csv(path)
     else:
         w.format(fmt).save(path)
 
@@ -162,6 +162,6 @@ def write_edges(edges: DataFrame, path: str) -> None:
 
 
 def write_title_map(catalogue: DataFrame, path: str) -> None:
-    """Title -> id map, first id per title."""
+    """Headerless title -> id map (read back by S9), first id per title."""
     m = catalogue.filter(F.col("title").isNotNull()).groupBy("title").agg(F.min("id").alias("id"))
-    write_table(m, path, fmt="csv")
+    write_table(m, path, fmt="csv", header=False)

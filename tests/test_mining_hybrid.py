@@ -75,7 +75,7 @@ def test_hybrid_rank(spark):
     scored = spark.createDataFrame([(1, "t", 5, 0.9, 1.0), (1, "t", 6, 0.1, 5.0), (1, "t", 7, None, 4.0)],
                                    "user_id long, title string, dst_id long, similarity double, est double")
     out = hybrid.hybrid_rank(scored, 2).orderBy("rank").collect()
-    assert [r.dst_id for r in out] == [6, 5]
+    assert [r.dst_id for r in out] == [5, 6]   # 0.9+1/5 == 0.1+5/5: tie -> smaller id
 
 
 def test_top_unrated_for_user(spark):
