@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from reelkit.operators import cf, evaluate
 from reelkit.plans.catalog import W, r6, register
+from reelkit.session import cut_lineage
 from reelkit.sources import proxy
 
 # --------------------------------------------------------------------------
@@ -18,7 +19,9 @@ def _split(spark, sf_dir):
 
 
 def _train_test(spark, sf_dir):
-    s = _split(spark, sf_dir)
+    """The split is read by many branches (cells, norms, pair statistics, test
+    pairs) and by several models, so it is written once to the checkpoint dir."""
+    s = cut_lineage(_split(spark, sf_dir))
     cols = ["rating_id", "user_id", "movie_id", "rating"]
     return s.filter(~F.col("is_test")).select(*cols), s.filter(F.col("is_test")).select(*cols)
 
@@ -116,19 +119,19 @@ ITEM_KNN_SQL = """
 PRED_OUT = "\nSELECT rating_id, round(pred, 6) AS pred FROM pred"
 
 
-def _spark_predict(name, train, test, users):
+def _spark_predict(name, train, test, users, stats=None):
     if name == "Baseline":
         return cf.predict_constant(train, test)
     if name == "User-based CF (Mean)":
         return cf.predict_movie_mean(train, test)
     if name == "User-based CF (Weighted Mean)":
-        return cf.predict_user_wmean(train, test)
+        return cf.predict_user_wmean(train, test, stats)
     if name == "Gender-based CF":
         return cf.predict_gender(train, test, users)
     if name == "Gender and Occupation based CF":
         return cf.predict_gender_occupation(train, test, users)
     if name == "kNN Basic":
-        return cf.predict_knn(train, test)
+        return cf.predict_knn(train, test, stats=stats)
     raise KeyError(name)
 
 
@@ -166,7 +169,9 @@ def e1_split(spark, sf_dir):
 def _results_spark(spark, sf_dir, models):
     train, test = _train_test(spark, sf_dir)
     users = proxy.users(spark, sf_dir)
-    parts = [evaluate.score_model(m, _spark_predict(m, train, test, users)) for m in models]
+    # one co-rating table serves both the weighted mean and kNN
+    stats = cut_lineage(cf.user_pair_stats(cf.cell_means(train)))
+    parts = [evaluate.score_model(m, _spark_predict(m, train, test, users, stats)) for m in models]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
