@@ -66,6 +66,15 @@ def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def cap_catalogue(df: DataFrame, max_items: int | None = None, by: str = "vote_count",
+                  key: str = "id") -> DataFrame:
+    """Keep the ``max_items`` rows with the largest ``by`` (ties by key);
+    default None keeps everything - no hidden ceiling."""
+    if max_items is None:
+        return df
+    return top_n(df, max_items, [F.desc_nulls_last(by), F.asc(key)])
+
+
 def top_n_per_group(df: DataFrame, group, order: Sequence[Column], n: int,
                     rank_col: str = "rank") -> DataFrame:
     """First n rows of every group under a total order."""

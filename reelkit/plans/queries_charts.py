@@ -420,3 +420,27 @@ def r2_knowledge_chart(spark, sf_dir):
     chart = knowledge_chart_from_defaults(gen_df(spark, sf_dir))
     return chart.select("id", "title", "genre", "runtime", F.col("year").cast("int").alias("year"),
                         "vote_count", r6("vote_average").alias("vote_average"), r6("score").alias("score"))
+
+
+# --------------------------------------------------------------------------
+# file round trip (S1, S12): the text catalogue through CSV and back
+# --------------------------------------------------------------------------
+
+# Empty text comes back NULL from CSV (as from pandas' read_csv); whitespace is kept.
+@register("S12_csv_round_trip", W("movies_raw") + """
+SELECT id, title, 'Line one, "quoted"' || chr(10) || title AS overview, genres,
+       nullif(budget, '') AS budget, vote_count
+FROM movies_raw""")
+def s12_csv_round_trip(spark, sf_dir):
+    import uuid
+
+    from reelkit.session import checkpoint_dir
+    from reelkit.sources import files
+    raw = proxy.movies_raw(spark, sf_dir)
+    out = raw.select("id", "title",
+                     F.concat(F.lit('Line one, "quoted"'), F.lit("\n"), F.col("title")).alias("overview"),
+                     "genres", "release_date", "budget", "revenue", "runtime", "vote_average", "vote_count")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/reelkit-io/{uuid.uuid4().hex}"
+    files.write_table(out, path, fmt="csv")
+    back = files.read_metadata(spark, path)
+    return back.select("id", "title", "overview", "genres", "budget", "vote_count")

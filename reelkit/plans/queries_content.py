@@ -210,3 +210,16 @@ def x5_sanitize(spark, sf_dir):
     return c.select("id", F.array_join(sanitize_array(names(parse_literal_list("cast"))), "|")
                     .alias("cast_tokens"),
                     sanitize(director(parse_literal_list("crew"))).alias("director"))
+
+
+# -------------------------------------------------------------------- X14 (rows-only)
+
+@register("X14_close_matches", None)
+def x14_close_matches(spark, sf_dir):
+    """Near-miss queries derived from the catalogue: each distinct title minus its
+    last character, matched back against all titles."""
+    from reelkit.functions.fuzzy import close_matches
+    titles = proxy.movies_raw(spark, sf_dir).select("title")
+    queries = titles.select(F.expr("substring(title, 1, length(title) - 1)").alias("query"))
+    return close_matches(queries, titles, n=5, cutoff=0.6).select(
+        "query", "title", r6("ratio").alias("ratio"), F.col("rank").cast("bigint").alias("rank"))

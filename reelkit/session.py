@@ -46,14 +46,18 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Raises when unset: a machine-local temporary folder would not survive the
-    loss of an executor on a cluster, so operators refuse to invent one.
+    When it is unset, a local-mode session (tests, a laptop) gets a temporary
+    folder; on a cluster this raises, because a machine-local folder would not
+    survive the loss of an executor.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        raise RuntimeError("spark.checkpoint.dir is not set; lineage cuts need a shared folder")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; lineage cuts need a shared folder")
+        path = tempfile.mkdtemp(prefix="reelkit-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", path)
     return path
 
 

@@ -150,7 +150,10 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     if fmt == "csv":
-        w.option("header", header).csv(path)
+        # RFC 4180 quoting (doubled quotes), the dialect the readers expect
+        # whitespace is data (pandas keeps it); empty text reads back as NULL, as in pandas
+        (w.option("header", header).option("escape", '"').option("quote", '"')
+          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     else:
         w.format(fmt).save(path)
 
