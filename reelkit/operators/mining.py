@@ -207,13 +207,17 @@ def knn_graph(vectors: DataFrame, n_neighbors: int = 10, bucket_length: float =
     """Approximate symmetric kNN graph (src, dst, weight) by LSH (M4 input).
 
     Candidate pairs come from a bucketed random-projection join (no cross
-    join); each point keeps its n nearest candidates; edges are symmetrised.
+    join) limited to ``max_distance`` (default: the bucket width); each point
+    keeps its n nearest candidates; edges are symmetrised.
     """
     v = _vec(vectors)
     lsh = BucketedRandomProjectionLSH(inputCol="_v", outputCol="_h", bucketLength=bucket_length,
                                       numHashTables=4, seed=seed).fit(v)
     if max_distance is None:
-        max_distance = float("inf")
+        # bound the candidate pairs: neighbours farther than one bucket width are
+        # not needed for a kNN graph, and an unbounded join would keep every
+        # colliding pair of a crowded bucket
+        max_distance = bucket_length
     pairs = (lsh.approxSimilarityJoin(v, v, max_distance, distCol="d")
                 .select(F.col("datasetA.id").alias("src"), F.col("datasetB.id").alias("dst"), "d")
                 .filter(F.col("src") != F.col("dst")))

@@ -121,7 +121,14 @@ def knowledge_chart(gen_df: DataFrame, genre, low_time, high_time, low_year, hig
 
 def knowledge_chart_from_defaults(gen_df: DataFrame, percentile: float = 0.8,
                                   preferred_genre: str = "animation") -> DataFrame:
-    """R2 driven by R3: the reference's non-interactive demo path."""
+    """R2 driven by R3: the reference's non-interactive demo path.
+
+    The exploded catalogue feeds about eight scalar subqueries (defaults,
+    thresholds, fallback flag) and the chart itself, so it is written once to
+    the checkpoint dir instead of being re-derived for each.
+    """
+    from reelkit.session import cut_lineage
+    gen_df = cut_lineage(gen_df)
     d = chart_defaults(gen_df, preferred_genre=preferred_genre)
     p = scalar(d, F.struct(*d.columns))
     return knowledge_chart(gen_df, p["genre"], p["low_time"], p["high_time"],
