@@ -119,7 +119,9 @@ def credits(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("rk", F.row_number().over(
                 Window.partitionBy("l_partkey").orderBy("l_suppkey")))
             .filter(F.col("rk") <= 5)
-            .join(F.broadcast(su), F.col("l_suppkey") == F.col("s_suppkey"))
+            # supplier grows with the scale factor: Catalyst decides by size;
+            # nation is a fixed 25-row dimension
+            .join(su, F.col("l_suppkey") == F.col("s_suppkey"))
             .join(F.broadcast(na), F.col("s_nationkey") == F.col("n_nationkey")))
     member = F.concat(F.lit("{'cast_id': "), F.col("rk").cast("string"),
                       F.lit(", 'name': '"), F.initcap("n_name"), F.lit(" "),
