@@ -210,7 +210,7 @@ def u1_explode(spark, sf_dir):
 
 
 @register("F4_preference_filter", W("movies") + GEN_SQL + """
-SELECT id, genre, runtime, year FROM gen
+SELECT id, genre, runtime, CAST(year AS INTEGER) AS year FROM gen
 WHERE genre = 'economy' AND runtime >= 10 AND runtime <= 30 AND year >= 1995 AND year <= 1998""")
 def f4_preference(spark, sf_dir):
     g = gen_df(spark, sf_dir)

@@ -58,7 +58,7 @@ SPLIT_SQL = W("ratings", "users") + """
 
 PRED_SQL = {
     "Baseline": """
-, pred{s} AS (SELECT rating_id, 3.0 AS pred FROM test)""",
+, pred{s} AS (SELECT rating_id, CAST(3.0 AS DOUBLE) AS pred FROM test)""",
     "User-based CF (Mean)": """
 , mm{s} AS (SELECT movie_id, avg(r) AS movie_mean FROM cells GROUP BY movie_id)
 , pred{s} AS (SELECT t.rating_id, coalesce(mm{s}.movie_mean, 3.0) AS pred
