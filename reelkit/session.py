@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,11 +63,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (never localCheckpoint).
+    """Materialise ``df`` as a Parquet table under ``spark.checkpoint.dir`` and read it back.
 
-    Used for iterative work (model fits, repeated scoring of one split) so a
-    lost executor does not replay the whole upstream plan.
+    A lineage cut for intermediates that several branches or models reuse: it
+    is computed once (a reliable ``checkpoint()`` of an uncached plan computes
+    it twice), survives the loss of an executor (the files are in the shared
+    folder), and the re-read keeps column pruning and statistics.  Never
+    ``localCheckpoint``.
     """
     spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
-    return df.checkpoint(eager=True)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/reelkit-cut/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
