@@ -1,7 +1,7 @@
 """Seeded synthetic sources (S15-S18), generated on the executors.
 
-Rows come from ``spark.range`` and column expressions (``rand``/``randn``
-with a seed, hashes); nothing is built on the driver, so the generators scale
+Rows come from ``spark.range`` and column expressions (seeded hash uniforms,
+Box-Muller normals); nothing is built on the driver, so the generators scale
 with the requested size.  They reproduce the *definitions* (ranges, counts,
 shapes), not numpy's or scikit-learn's random streams.
 """
