@@ -1,4 +1,4 @@
-"""Catalogue entries: hybrid (R17, R18, R22), factorisation (R13, E5), top-n unrated."""
+"""Catalogue entries: hybrid (R17, R18, R22) and factorisation."""
 
 from __future__ import annotations
 
