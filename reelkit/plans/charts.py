@@ -81,9 +81,11 @@ def chart_defaults(gen_df: DataFrame, preferred_genre: str = "animation",
     (min <= 0 or missing -> 1900, max missing -> 2023).
     """
     counts = gen_df.filter(F.col("genre").isNotNull()).groupBy("genre").agg(F.count(F.lit(1)).alias("n"))
-    # Most frequent genre; a tie in count goes to the smallest name.
-    top_genre = scalar(counts.filter(F.col("n") == scalar(counts, F.max("n"))), F.min("genre"))
-    has_pref = scalar(counts, F.max(F.col("genre") == F.lit(preferred_genre)))
+    # One pass over the genre counts: the most frequent genre (a tie in count
+    # goes to the smallest name) and whether the preferred genre occurs.
+    pick = scalar(counts, F.struct(F.min(F.struct(-F.col("n"), F.col("genre")))["genre"].alias("top"),
+                                   F.max(F.col("genre") == F.lit(preferred_genre)).alias("has_pref")))
+    top_genre, has_pref = pick["top"], pick["has_pref"]
     valid_rt = F.when(F.col("runtime") > 0, F.col("runtime"))
     ranges = gen_df.agg(
         F.percentile(valid_rt, 0.25).alias("q25"), F.percentile(valid_rt, 0.75).alias("q75"),
@@ -110,10 +112,12 @@ def knowledge_chart(gen_df: DataFrame, genre, low_time, high_time, low_year, hig
                             & (F.col("runtime") >= _lit(low_time)) & (F.col("runtime") <= _lit(high_time))
                             & (F.col("year") >= _lit(low_year)) & (F.col("year") <= _lit(high_year)))
     stats = scalar(matches, F.struct(quantile("vote_count", percentile).alias("m"),
-                                     F.avg("vote_average").alias("c")))
+                                     F.avg("vote_average").alias("c"),
+                                     F.max("vote_count").alias("top")))
     m, c = stats["m"], stats["c"]
     qualified = matches.filter(F.col("vote_count") >= m)
-    any_qualified = F.coalesce(scalar(matches, F.max(F.col("vote_count") >= m)), F.lit(False))
+    # some match reaches m  <=>  the largest vote count does
+    any_qualified = F.coalesce(stats["top"] >= m, F.lit(False))
     scored = qualified.withColumn("score", weighted_rating("vote_count", "vote_average", m, c))
     fallback = matches.filter(~any_qualified).withColumn("score", F.lit(None).cast("double"))
     return scored.unionByName(fallback)
