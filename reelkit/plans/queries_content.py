@@ -223,3 +223,14 @@ def x14_close_matches(spark, sf_dir):
     queries = titles.select(F.expr("substring(title, 1, length(title) - 1)").alias("query"))
     return close_matches(queries, titles, n=5, cutoff=0.6).select(
         "query", "title", r6("ratio").alias("ratio"), F.col("rank").cast("bigint").alias("rank"))
+
+
+# -------------------------------------------------------------------- V8 (rows-only, approximate)
+
+@register("V8_lsh_similar_pairs", None)
+def v8_lsh_pairs(spark, sf_dir):
+    """Approximate pairs with TF-IDF cosine >= 0.8 over all overviews (opt-in V8 path)."""
+    d = _overviews(spark, sf_dir)
+    w = text.tfidf(d.select("id", F.coalesce("overview", F.lit("")).alias("t")), "id", "t")
+    pairs = text.lsh_similar_pairs(w, threshold=0.8, num_features=1 << 18)
+    return pairs.select("src_id", "dst_id", r6("similarity").alias("similarity"))
