@@ -84,3 +84,12 @@ def test_top_unrated_for_user(spark):
     cat = spark.createDataFrame([(10, "a"), (11, "b"), (12, "c"), (13, "d"), (14, "e")], "id long, title string")
     out = hybrid.top_unrated_for_user(1, ratings, cat, hybrid.movie_mean_scorer(ratings), n=2).collect()
     assert [r.movie_id for r in out] == [12, 13]      # 14 has no ratings -> NULL pred sorts last
+
+
+def test_id_mapping_with_and_without_links(spark):
+    meta = spark.createDataFrame([("862", "Toy Story"), ("949", "Heat"), ("tt1", "Bad")], "id string, title string")
+    links = spark.createDataFrame([(1, "862.0"), (2, "949")], "movieId int, tmdbId string")
+    m = {r.movieId: r.id for r in hybrid.id_mapping(meta, links).collect()}
+    assert m == {1: "862", 2: "949"}
+    numbered = {r.id: r.movieId for r in hybrid.id_mapping(meta).collect()}
+    assert numbered == {"862": 1, "949": 2}

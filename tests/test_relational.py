@@ -41,3 +41,10 @@ def test_top_n_per_group_ties(spark):
     df = spark.createDataFrame([(1, 10, 0.5), (1, 11, 0.5), (1, 12, 0.9), (2, 10, 0.1)], "g int, d int, s double")
     out = top_n_per_group(df, "g", [F.desc("s"), F.asc("d")], 2).orderBy("g", "rank").collect()
     assert [(r.g, r.d) for r in out] == [(1, 12), (1, 10), (2, 10)]
+
+
+def test_cap_catalogue_default_keeps_all(spark):
+    from reelkit.operators.relational import cap_catalogue
+    df = spark.createDataFrame([(1, 5.0), (2, 9.0), (3, 9.0), (4, None)], "id long, vote_count double")
+    assert cap_catalogue(df).count() == 4
+    assert [r.id for r in cap_catalogue(df, 2).collect()] == [2, 3]
