@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelkit.session import checkpoint_dir
@@ -62,3 +62,20 @@ def pieces(batch: pa.RecordBatch, col: str, budget: int) -> Iterator[pa.RecordBa
         held += n
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+def positions(df: DataFrame, order: list[str | Column], name: str) -> DataFrame:
+    """``df`` with ``pos``, each row's 0-based place in the total order of ``order`` (named columns come first).
+
+    Rows are dealt to key ranges and stored once, with the range's number, so
+    that every later step sees the same ranges; a row's place is its place in
+    its range plus the rows of the ranges before.  No task holds more than one
+    range; the table of ranges has one short row each.
+    """
+    dealt = df.repartitionByRange(partitions_of(df), *order).withColumn("__range", F.spark_partition_id())
+    dealt = stored(dealt, name)
+    sizes = dealt.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    local = dealt.withColumn("__i", F.row_number().over(Window.partitionBy("__range").orderBy(*order)) - 1)
+    return local.join(offsets, "__range").withColumn("pos", F.col("__before") + F.col("__i")).drop("__range", "__i", "__before")

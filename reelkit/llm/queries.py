@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelkit.llm import pieces_bpe, token_counts, vocab, wavelet
+from reelkit.llm import mixing, pieces_bpe, simhash, token_counts, vocab, wavelet
 from reelkit.llm.common import shared_path, table
 
 QUERIES, ORACLES = {}, {}
@@ -31,3 +31,13 @@ def op6(spark, sf_dir):
 @_register("op7_sentencepiece")
 def op7(spark, sf_dir):
     return pieces_bpe.encode_decode(table(spark, sf_dir, "documents"), vocab.vocabulary_path("piece_bpe_32k.model"))
+
+
+@_register("op2_simhash_near_dedup")
+def op2(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_register("op9_mix_sources", mixing.ORACLE)
+def op9(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
