@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelkit.llm import mixing, pieces_bpe, simhash, token_counts, vocab, wavelet
+from reelkit.llm import ann, mixing, pieces_bpe, simhash, token_counts, vocab, wavelet
 from reelkit.llm.common import shared_path, table
 
 QUERIES, ORACLES = {}, {}
@@ -41,3 +41,9 @@ def op2(spark, sf_dir):
 @_register("op9_mix_sources", mixing.ORACLE)
 def op9(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@_register("op8_graph_neighbours")
+def op8(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
