@@ -15,6 +15,8 @@ from reelkit.llm.vocab import PartCache
 
 #: Fixed value: the library writes a space as this character.
 SPACE = "▁"
+#: Parts that a worker keeps; each with its ids and their decimal text, about 500 bytes.
+ENTRIES = 350_000
 
 
 class Agenda:
@@ -124,9 +126,10 @@ class PieceEncoder:
         """(decimal ids, ids) of each text; an empty text has none."""
         cut = [self.parts(t) if t else [] for t in texts]
         known = self.known
+        known.trim(ENTRIES, ENTRIES)
         found = [list(map(known.__getitem__, ps)) for ps in cut]
         if known.asked:
-            known.fill(350_000)
+            known.fill()
             found = [list(map(known.__getitem__, ps)) for ps in cut]
         out = []
         for values in found:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelkit.llm import ann, mixing, pieces_bpe, simhash, token_counts, vocab, wavelet
+from reelkit.llm import ann, mixing, pieces_bpe, sharding, simhash, token_counts, vocab, wavelet
 from reelkit.llm.common import shared_path, table
 
 QUERIES, ORACLES = {}, {}
@@ -47,3 +47,8 @@ def op9(spark, sf_dir):
 def op8(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return ann.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
+@_register("op3_balanced_shards")
+def op3(spark, sf_dir):
+    return sharding.shards(table(spark, sf_dir, "documents"))

@@ -12,8 +12,8 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Entries of a worker's cache; at about 200 bytes each.
-CACHE_ENTRIES = 700_000
+#: Entries of a worker's caches: whole parts, and the stems that they are put together from; about 200 bytes each.
+CACHE_PARTS, CACHE_STEMS = 300_000, 900_000
 
 
 def vocabulary_path(name: str) -> str:
@@ -49,30 +49,46 @@ def _plain_stem(part: str) -> bool:
 class PartCache(dict):
     """part -> encoded value.  A part that is asked for and unknown is noted, and filled in with the next ``fill``.
 
-    ``encode`` turns a list of parts into values that join by ``+``.
+    ``split`` cuts a part into stems, or refuses it (None); ``encode`` turns a
+    list of stems into values that join by ``+``.  Stems have a cache of their
+    own, which caches of one tokenizer may share.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], split: Callable[[str], list[str] | None]):
+    def __init__(self, encode: Callable[[list[str]], list], split: Callable[[str], list[str] | None],
+                 stems: dict | None = None, nothing=None):
         self.encode, self.split, self.asked = encode, split, set()
+        self.stems = {} if stems is None else stems
+        self.nothing = nothing
 
-    def __missing__(self, part: str) -> None:
+    def __missing__(self, part: str):
         self.asked.add(part)
+        return self.nothing
 
-    def fill(self, entries: int = CACHE_ENTRIES) -> None:
-        """Encode what was asked for.  Parts that ``split`` refuses (None) stay unknown."""
-        if not self.asked:
-            return
-        if len(self) > entries:
+    def trim(self, parts: int = CACHE_PARTS, stems: int = CACHE_STEMS) -> None:
+        """Empty a full cache; between batches only, as a batch needs all its parts at once."""
+        if len(self) > parts:
             self.clear()
-        cut = {p: subs for p in self.asked if (subs := self.split(p))}
-        order = list({s for subs in cut.values() for s in subs})
-        made = dict(zip(order, self.encode(order), strict=True))
+        if len(self.stems) > stems:
+            self.stems.clear()
+
+    def fill(self) -> set[str]:
+        """Encode what was asked for; what ``split`` refused."""
+        cut, refused, stems = {}, set(), self.stems
+        for p in self.asked:
+            subs = self.split(p)
+            if subs:
+                cut[p] = subs
+            else:
+                refused.add(p)
+        new = list({s for subs in cut.values() for s in subs if s not in stems})
+        stems.update(zip(new, self.encode(new), strict=True))
         for p, subs in cut.items():
-            v = made[subs[0]]
+            v = stems[subs[0]]
             for s in subs[1:]:
-                v = v + made[s]
+                v = v + stems[s]
             self[p] = v
         self.asked = set()
+        return refused
 
 
 # ------------------------------------------------------------------ byte-level BPE (tokenizers library)
@@ -89,12 +105,14 @@ class ByteLevelParts:
 
     def __init__(self, path: str):
         self.tokenizer = library_tokenizer(path)
-        self.first = PartCache(self._encode, lambda p: self._split(p, ""))
-        self.later = PartCache(self._encode, lambda p: self._split(p, " "))
+        self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        stems: dict[str, bytes] = {}
+        self.first = PartCache(self._encode, lambda p: self._split(p, ""), stems, b"")
+        self.later = PartCache(self._encode, lambda p: self._split(p, " "), stems, b"")
 
     def _encode(self, parts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+        kind = self.kind
+        return [array(kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
     @staticmethod
     def _split(part: str, before: str) -> list[str] | None:
@@ -109,22 +127,29 @@ class ByteLevelParts:
             out += ["\n"] * (i > 0) + ([x[:-1], x[-1]] if _plain_stem(x) else [x])
         return out
 
+    def _joined(self, parts: list[str]) -> bytes:
+        return self.first[parts[0]] + b"".join(map(self.later.__getitem__, parts[1:]))
+
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """Little-endian unsigned 32-bit ids of each text."""
+        """Unsigned 16-bit ids of each text, or 32-bit ones where the vocabulary needs them."""
         first, later = self.first, self.later
+        first.trim()
+        later.trim()
         cut = [t.split(" ") for t in texts]
-        out = []
-        for _ in range(2):
-            out = [[first[parts[0]], *map(later.__getitem__, parts[1:])] for parts in cut]
-            if not first.asked and not later.asked:
-                break
-            first.fill()
-            later.fill()
-        first.asked, later.asked = set(), set()
-        whole = {i: texts[i] for i, values in enumerate(out) if None in values}
-        for i, v in zip(whole, self._encode(list(whole.values())), strict=True):
-            out[i] = [v]
-        return [np.frombuffer(b"".join(v), dtype="<u4") for v in out]
+        out, again, refused = [], [], set()
+        for i, parts in enumerate(cut):
+            before = len(first.asked) + len(later.asked)
+            out.append(self._joined(parts))
+            if len(first.asked) + len(later.asked) > before or not later.asked.isdisjoint(parts):
+                again.append(i)
+        if again:
+            refused = first.fill(), later.fill()
+            whole = [i for i in again if cut[i][0] in refused[0] or not refused[1].isdisjoint(cut[i][1:])]
+            for i in set(again).difference(whole):
+                out[i] = self._joined(cut[i])
+            for i, v in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
+                out[i] = v
+        return [np.frombuffer(v, dtype=self.kind) for v in out]
 
 
 # ------------------------------------------------------------------ counts under any file
@@ -140,7 +165,12 @@ class WordCounts:
 
     def __init__(self, path: str):
         self.tokenizer = library_tokenizer(path)
-        self.known = PartCache(self._encode, lambda p: [p[:-1], p[-1]] if _plain_stem(p) else [p])
+        self.known = PartCache(self._encode, self._split, nothing=0)
+
+    @staticmethod
+    def _split(part: str) -> list[str]:
+        part = part.lower() if part.isascii() else part
+        return [part[:-1], part[-1]] if _plain_stem(part) else [part]
 
     def _encode(self, parts: list[str]) -> list[int]:
         return [len(e) for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
@@ -148,11 +178,12 @@ class WordCounts:
     def counts(self, texts: list[str]) -> list[int]:
         cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         known = self.known
-        values = [list(map(known.__getitem__, parts)) for parts in cut]
+        known.trim()
+        found = [sum(map(known.__getitem__, parts)) for parts in cut]
         if known.asked:
             known.fill()
-            values = [list(map(known.__getitem__, parts)) for parts in cut]
-        return [sum(v) for v in values]
+            found = [sum(map(known.__getitem__, parts)) for parts in cut]
+        return found
 
 
 class WholeCounts:

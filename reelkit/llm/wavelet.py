@@ -159,7 +159,7 @@ def _shards(path: str, end_id: int, file_tokens: int):
                    "n_tokens": [held], "matrix": [encode(np.concatenate(runs))]}
             return pa.RecordBatch.from_pydict(row, schema=_FILES)
 
-        end = np.array([end_id], dtype="<u4")
+        end = np.array([end_id], dtype="<u2" if vocab.byte_level(path).kind == "H" else "<u4")
         for batch in batches:
             for some in pieces(batch, "text", 4 << 20):
                 for doc, r in zip(some.column("doc_id").to_pylist(), vocab.byte_level(path).ids(texts(some)), strict=True):
