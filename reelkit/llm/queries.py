@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelkit.llm import ann, mixing, pieces_bpe, sharding, simhash, token_counts, vocab, wavelet
+from reelkit.llm import ann, mixing, pieces_bpe, quality, sharding, simhash, suffixes, token_counts, vocab, wavelet
 from reelkit.llm.common import shared_path, table
 
 QUERIES, ORACLES = {}, {}
@@ -52,3 +52,13 @@ def op8(spark, sf_dir):
 @_register("op3_balanced_shards")
 def op3(spark, sf_dir):
     return sharding.shards(table(spark, sf_dir, "documents"))
+
+
+@_register("op4_quality_classifier")
+def op4(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_register("op1_suffix_dedup")
+def op1(spark, sf_dir):
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
