@@ -98,4 +98,4 @@ def test_collisions_fall_back_on_bytes(monkeypatch):
     px.prefix = np.zeros_like(px.prefix)  # every hash collides
     start, size = np.array([0, 4, 2]), np.array([4, 4, 2])
     order, lcp = suffixes.sort_suffixes(px, start, size, np.zeros(3, int))
-    assert order.tolist() == [0, 1, 2] and lcp.tolist() == [-1, 3, 0] 
+    assert order.tolist() == [0, 1, 2] and lcp.tolist() == [-1, 3, 1]
