@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelkit.llm import ann, mixing, pieces_bpe, quality, sharding, simhash, suffixes, token_counts, vocab, wavelet
+from reelkit.llm import ann, mixing, pieces_bpe, quality, sharding, simhash, sketches, suffixes, token_counts, vocab, wavelet
 from reelkit.llm.common import shared_path, table
 
 QUERIES, ORACLES = {}, {}
@@ -62,3 +62,8 @@ def op4(spark, sf_dir):
 @_register("op1_suffix_dedup")
 def op1(spark, sf_dir):
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@_register("op10_sketch_fingerprints")
+def op10(spark, sf_dir):
+    return sketches.sketches(table(spark, sf_dir, "documents"))
