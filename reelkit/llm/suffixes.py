@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelkit.llm.anchors import Prefixes, sliding_argmin, spread
 from reelkit.llm.common import partitions_of, pieces, stored, text_or_empty
@@ -305,10 +306,12 @@ def _spans_of(text: bytes, settled, ranges, more, gram: int, length: int) -> np.
     return _merged(np.concatenate(lo), np.concatenate(hi))
 
 
-RESULT = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, removed array<struct<start: long, end: long>>"
-WAITING = ", tag long, text binary, settled array<long>, ranges array<struct<start: long, end: long>>, unsettled array<struct<g: long, loc: long, classes: long>>"
+RESULT = ("doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string, "
+          "removed array<struct<start: long, end: long>>")
+NAMES = ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text", "removed"]
+WAITING = "tag long, text binary, settled array<long>, ranges array<struct<start: long, end: long>>, unsettled array<struct<g: long, loc: long, classes: long>>"
 _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-_TYPES = [pa.int64()] * 4 + [pa.string(), pa.binary(), _SPAN]
+_TYPES = [pa.int64()] * 4 + [pa.string(), pa.binary(), pa.string(), _SPAN]
 
 
 def _judged(gram: int, length: int, full: bool, last: bool):
@@ -320,10 +323,9 @@ def _judged(gram: int, length: int, full: bool, last: bool):
             at = b
         kept = b"".join([*kept, text[at:]])
         return (doc, len(text), int((spans[:, 1] - spans[:, 0]).sum()), len(spans), hashlib.sha256(kept).hexdigest(),
-                kept if full else None, [{"start": int(a), "end": int(b)} for a, b in spans] if full else None)
+                kept if full else None, kept.decode("utf-8", "ignore") if full else None, [{"start": int(a), "end": int(b)} for a, b in spans] if full else None)
 
     def run(batches):
-        names = ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "removed"]
         for batch in batches:
             for part in pieces(batch, "text", 8 << 20):
                 docs, texts, settled, ranges = (part.column(c).to_pylist() for c in ("doc", "text", "settled", "ranges"))
@@ -331,28 +333,30 @@ def _judged(gram: int, length: int, full: bool, last: bool):
                     more, waits = part.column("spans").to_pylist(), [False] * len(docs)
                 else:
                     more, waits = [None] * len(docs), [bool(x) for x in part.column("unsettled").to_pylist()]
-                rows = [(d, None, None, None, None, None, None) if w else result(d, t, _spans_of(t, s, r, m, gram, length))
+                rows = [(d, *[None] * 7) if w else result(d, t, _spans_of(t, s, r, m, gram, length))
                         for d, t, s, r, m, w in zip(docs, texts, settled, ranges, more, waits, strict=True)]
                 cols = [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)]
+                cols.append(part.column("others"))
                 if last:
-                    yield pa.RecordBatch.from_arrays(cols, names=names)
+                    yield pa.RecordBatch.from_arrays(cols, names=[*NAMES, "others"])
                     continue
                 keep = pa.array(waits)
                 rest = ["text", "settled", "ranges", "unsettled"]
                 held = [pa.compute.if_else(keep, part.column("text"), pa.scalar(None, part.column("text").type))]
                 held += [pa.array([x if w else None for x, w in zip(part.column(c).to_pylist(), waits, strict=True)],
                                   part.column(c).type) for c in rest[1:]]
-                yield pa.RecordBatch.from_arrays([*cols, part.column("tag"), *held], names=[*names, "tag", *rest])
+                yield pa.RecordBatch.from_arrays([*cols, part.column("tag"), *held], names=[*NAMES, "others", "tag", *rest])
     return run
 
 
 # ------------------------------------------------------------------ the Spark jobs
 
 
-def _rows(docs: DataFrame) -> DataFrame:
+def _rows(docs: DataFrame, others: bool = False) -> DataFrame:
     text = text_or_empty()
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]) if others else F.lit(None).cast("int")
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), text.cast("binary").alias("text"),
-                       F.shiftrightunsigned(F.xxhash64(text), 49).alias("tag"))
+                       F.shiftrightunsigned(F.xxhash64(text), 49).alias("tag"), rest.alias("others"))
 
 
 def marks(docs: DataFrame, gram: int = GRAM, length: int = LENGTH) -> DataFrame:
@@ -363,7 +367,7 @@ def marks(docs: DataFrame, gram: int = GRAM, length: int = LENGTH) -> DataFrame:
     with its context, where others share its string but not its context.
     """
     rows = _rows(docs)
-    found = rows.mapInArrow(_anchors(gram, length), ANCHORS)
+    found = rows.select("doc", "tag", "text").mapInArrow(_anchors(gram, length), ANCHORS)
     dealt = found.repartition(max(partitions_of(rows), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "g") \
                  .sortWithinPartitions("g", "c", "doc", "loc")
     by_string, by_context = Window.partitionBy("g"), Window.partitionBy("g", "c").orderBy("doc", "loc")
@@ -378,7 +382,8 @@ def marks(docs: DataFrame, gram: int = GRAM, length: int = LENGTH) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, gram: int = GRAM, length: int = LENGTH, full: bool = False,
                    large: int = LARGE) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row (and, if ``full``, kept bytes and removed spans).
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row (and, if ``full``, the kept bytes, the text
+    that they make without characters cut in two, the removed spans, and all other columns as one, ``others``).
 
     A byte goes if a string of ``length`` bytes over it also starts earlier: in
     a document of smaller id, or further up in its own.  Judged on the input.
@@ -399,18 +404,20 @@ def remove_repeats(docs: DataFrame, gram: int = GRAM, length: int = LENGTH, full
     are equal are one document, and get the same result each.  Empty table: no
     rows.
     """
-    rows = _rows(docs)
+    rows = _rows(docs, others=full)
     said = marks(docs, gram, length)
     place = F.col("loc").bitwiseAND(F.lit((1 << TAG) - 1))
     by_doc = said.groupBy("doc", "tag").agg(
         F.collect_list(F.when(F.col("kind") == 1, F.col("loc"))).alias("settled"),
         F.collect_list(F.when(F.col("kind") == 0, F.struct(place.alias("start"), "end"))).alias("ranges"),
         F.collect_list(F.when(F.col("kind") == 2, F.struct("g", "loc", "classes"))).alias("unsettled"))
-    first = rows.join(by_doc, ["doc", "tag"], "left").select("doc", "tag", "text", "settled", "ranges", "unsettled")
-    judged = stored(first.mapInArrow(_judged(gram, length, full, last=False), RESULT + WAITING), "judged")
-    waiting = judged.filter("text is not null").select("doc", "tag", "text", "settled", "ranges", "unsettled")
+    first = rows.join(by_doc, ["doc", "tag"], "left").select("doc", "tag", "text", "others", "settled", "ranges", "unsettled")
+    schema = T.StructType([*T.StructType.fromDDL(RESULT).fields, T.StructField("others", rows.schema["others"].dataType)])
+    both = T.StructType([*schema.fields, *T.StructType.fromDDL(WAITING).fields])
+    judged = stored(first.mapInArrow(_judged(gram, length, full, last=False), both), "judged")
+    waiting = judged.filter("text is not null").select("doc", "tag", "text", "others", "settled", "ranges", "unsettled")
 
-    contexts = waiting.mapInArrow(_contexts(gram, length), CONTEXTS)
+    contexts = waiting.select("doc", "text", "unsettled").mapInArrow(_contexts(gram, length), CONTEXTS)
     small = contexts.filter(F.col("classes") <= large).repartition(partitions_of(rows), "g").sortWithinPartitions("g", "doc", "loc")
     spans = small.mapInArrow(_sorted_groups(length), SPANS)
     if said.filter((F.col("kind") == 2) & (F.col("classes") > large)).limit(1).count():
@@ -420,9 +427,9 @@ def remove_repeats(docs: DataFrame, gram: int = GRAM, length: int = LENGTH, full
         again = windows.join(earliest, F.col("h") == F.col("fh")).filter(F.struct("doc", "tag", "start") > F.col("f"))
         spans = spans.unionByName(again.select("doc", "tag", "start", (F.col("start") + length).alias("end")))
     by_doc = spans.groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    late = (waiting.join(by_doc, ["doc", "tag"], "left").select("doc", "text", "settled", "ranges", "spans")
-            .mapInArrow(_judged(gram, length, full, last=True), RESULT))
+    late = (waiting.join(by_doc, ["doc", "tag"], "left").select("doc", "text", "others", "settled", "ranges", "spans")
+            .mapInArrow(_judged(gram, length, full, last=True), schema))
     out = judged.filter("text is null").select(late.columns).unionByName(late)
-    more = ["kept", "removed"] if full else []
+    more = ["kept", "kept_text", "removed", "others"] if full else []
     return out.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"),
                       "n_bytes", "n_removed", "n_spans", "kept_sha256", *more)
