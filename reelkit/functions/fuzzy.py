@@ -10,7 +10,6 @@ ratio runs in an Arrow pandas UDF over the surviving pairs only.
 from __future__ import annotations
 
 import difflib
-import math
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -33,7 +32,9 @@ def close_matches(queries: DataFrame, titles: DataFrame, n: int = 5, cutoff: flo
     q = queries.select("query").filter(F.col("query").isNotNull()).distinct()
     ql = F.length("query")
     lo = F.ceil(ql * cutoff / (2 - cutoff)).cast("int")
-    hi = F.floor(ql * (2 - cutoff) / cutoff).cast("int") if cutoff > 0 else F.lit(math.inf)
+    longest = t.agg(F.max("len")).scalar()
+    hi = F.least(F.floor(ql * (2 - cutoff) / cutoff).cast("int"), longest) if cutoff > 0 else longest
+    q = q.filter(lo <= hi)
     qx = q.select("query", F.explode(F.sequence(F.greatest(lo, F.lit(0)), hi)).alias("len"))
     cand = qx.join(t, "len").select("query", "title")
     scored = cand.withColumn("ratio", _ratio("title", "query")).filter(F.col("ratio") >= cutoff)

@@ -22,6 +22,9 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 MEMBER = StructType([StructField("name", StringType()), StructField("job", StringType())])
 MEMBER_LIST = ArrayType(MEMBER)
 
+_QUOTED = r"'[^'\\]*'|\"[^\"\\]*\""
+_KEYWORD = r":\s*(?:None|True|False)(?=\s*[,}\]])"
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -43,15 +46,37 @@ def _literal_to_json(s: pd.Series) -> pd.Series:
 def parse_literal_list(c, schema=MEMBER_LIST) -> Column:
     """X1 fast path: python-literal list text -> typed array on the JVM.
 
-    Rewrites ``None/True/False`` and parses as JSON (single quotes allowed);
-    text the JSON reader cannot read comes back NULL.  Use
+    Rewrites ``None/True/False`` and parses as JSON (single quotes allowed).
+    Lists of plain strings become members with that name.  NULL: text that the
+    JSON reader cannot read, that holds escapes, or that has one of the
+    keywords inside a string, where rewriting would change it.  Use
     ``with_parsed_literals`` to send exactly those rows through Python.
     """
     text = _c(c)
+    bare = F.regexp_replace(text, _QUOTED, "''")
+    plain = ~F.contains(text, F.lit("\\")) & (
+        ~text.rlike(_KEYWORD) | (F.regexp_count(text, F.lit(_KEYWORD)) == F.regexp_count(bare, F.lit(_KEYWORD))))
+    text = F.when(plain, text)
     jsonish = F.regexp_replace(text, r":\s*None(?=\s*[,}\]])", ": null")
     jsonish = F.regexp_replace(jsonish, r":\s*True(?=\s*[,}\]])", ": true")
     jsonish = F.regexp_replace(jsonish, r":\s*False(?=\s*[,}\]])", ": false")
-    return F.from_json(jsonish, schema, {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
+    return _from_json(jsonish, schema)
+
+
+def _from_json(text: Column, schema) -> Column:
+    options = {"allowSingleQuotes": "true", "mode": "PERMISSIVE"}
+    parsed = F.from_json(text, schema, options)
+    if schema != MEMBER_LIST:
+        return parsed
+    strings = F.from_json(text, ArrayType(StringType()), options)
+    return F.coalesce(parsed, F.transform(strings, lambda s: F.struct(
+        s.alias("name"), F.lit(None).cast("string").alias("job"))))
+
+
+def count_unreadable(parsed: DataFrame, raw: DataFrame, col: str) -> DataFrame:
+    """One row, the number of texts that no parser could read (raw text there, parsed list NULL)."""
+    there = raw.agg(F.count(col).alias("texts"))
+    return there.join(parsed.agg(F.count(col).alias("lists"))).select((F.col("texts") - F.col("lists")).alias("unreadable"))
 
 
 def with_parsed_literals(df: DataFrame, cols, schema=MEMBER_LIST, suffix: str = "") -> DataFrame:
@@ -72,7 +97,7 @@ def with_parsed_literals(df: DataFrame, cols, schema=MEMBER_LIST, suffix: str =
     bad = fast.filter(failed)
     for c in cols:
         bad = bad.withColumn(c + suffix + "__p", F.coalesce(F.col(c + suffix + "__p"),
-                                                            F.from_json(_literal_to_json(F.col(c)), schema)))
+                                                            _from_json(_literal_to_json(F.col(c)), schema)))
     out = good.unionByName(bad)
     for c in cols:
         out = out.withColumnRenamed(c + suffix + "__p", c + suffix) if suffix else \

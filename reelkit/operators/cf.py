@@ -119,11 +119,17 @@ def user_pair_stats(cells: DataFrame, target: int = 2000) -> DataFrame:
 
     Includes u = v.  Pairs without a common movie are absent (their dot is 0).
     """
-    pairs = salted_self_join(cells.select("movie_id", "user_id", "r"), "movie_id", "user_id", target)
-    return (pairs.groupBy(F.col("a_user_id").alias("u"), F.col("b_user_id").alias("v"))
+    pairs = salted_self_join(cells.select("movie_id", "user_id", "r"), "movie_id", "user_id", target, upper_only=True)
+    once = (pairs.groupBy(F.col("a_user_id").alias("a"), F.col("b_user_id").alias("b"))
                  .agg(F.count(F.lit(1)).alias("n_common"),
                       F.sum(F.col("a_r") * F.col("b_r")).alias("dot"),
                       F.sum((F.col("a_r") - F.col("b_r")) ** 2).alias("sqd")))
+    # symmetric: aggregated once, then emitted in both directions
+    ways = F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))
+    both = once.select(F.explode(ways).alias("w"), "n_common", "dot", "sqd").select("w.u", "w.v", "n_common", "dot", "sqd")
+    own = (cells.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_common"), F.sum(F.col("r") * F.col("r")).alias("dot"))
+                .select(F.col("user_id").alias("u"), F.col("user_id").alias("v"), "n_common", "dot", F.lit(0.0).alias("sqd")))
+    return both.unionByName(own)
 
 
 def user_norms(cells: DataFrame) -> DataFrame:

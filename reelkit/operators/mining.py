@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from reelkit.functions.scores import cosine, euclidean, pearson
-from reelkit.operators.relational import top_n_per_group
+from reelkit.operators.relational import global_position, top_n_per_group
 
 
 def long_form(vectors: DataFrame, id_col: str = "id", feat: str = "features") -> DataFrame:
@@ -202,23 +202,22 @@ def elbow(vectors: DataFrame, max_k: int = 8, seed: int = 0, max_iter: int = 10)
     return spark.createDataFrame(rows, "k int, inertia double")
 
 
-def knn_graph(vectors: DataFrame, n_neighbors: int = 10, bucket_length: float = 2.0,
-              max_distance: float | None = None, seed: int = 42) -> DataFrame:
+def knn_graph(vectors: DataFrame, n_neighbors: int = 10, bucket_length: float | None = None,
+              seed: int = 42) -> DataFrame:
     """Approximate symmetric kNN graph (src, dst, weight) by LSH (M4 input).
 
     Candidate pairs come from a bucketed random-projection join (no cross
-    join) limited to ``max_distance`` (default: the bucket width); each point
-    keeps its n nearest candidates; edges are symmetrised.
+    join); buckets are as wide as the data's own spread along a random
+    direction (by default), whatever its scale.  Each point keeps its n nearest
+    candidates, however far; edges are symmetrised.
     """
     v = _vec(vectors)
+    if bucket_length is None:
+        per = long_form(vectors).groupBy("pos").agg(F.var_pop("x").alias("s"))
+        bucket_length = max(float(per.agg(F.coalesce(F.sqrt(F.avg("s")), F.lit(1.0))).first()[0]), 1e-9)
     lsh = BucketedRandomProjectionLSH(inputCol="_v", outputCol="_h", bucketLength=bucket_length,
                                       numHashTables=4, seed=seed).fit(v)
-    if max_distance is None:
-        # bound the candidate pairs: neighbours farther than one bucket width are
-        # not needed for a kNN graph, and an unbounded join would keep every
-        # colliding pair of a crowded bucket
-        max_distance = bucket_length
-    pairs = (lsh.approxSimilarityJoin(v, v, max_distance, distCol="d")
+    pairs = (lsh.approxSimilarityJoin(v, v, float("inf"), distCol="d")
                 .select(F.col("datasetA.id").alias("src"), F.col("datasetB.id").alias("dst"), "d")
                 .filter(F.col("src") != F.col("dst")))
     near = top_n_per_group(pairs, "src", [F.asc("d"), F.asc("dst")], n_neighbors, "r")
@@ -227,10 +226,17 @@ def knn_graph(vectors: DataFrame, n_neighbors: int = 10, bucket_length: float =
 
 
 def spectral(vectors: DataFrame, k: int = 2, n_neighbors: int = 10, seed: int = 42) -> DataFrame:
-    """M4: power-iteration clustering on the kNN graph; (id, cluster)."""
+    """M4: power-iteration clustering on the kNN graph; (id, cluster).
+
+    A point that met no other in any bucket has no edge: it is a cluster of
+    its own, numbered from k on by id.
+    """
     g = knn_graph(vectors, n_neighbors, seed=seed)
     pic = PowerIterationClustering(k=k, maxIter=20, srcCol="src", dstCol="dst", weightCol="weight")
-    return pic.assignClusters(g).select(F.col("id"), F.col("cluster"))
+    found = pic.assignClusters(g).select(F.col("id"), F.col("cluster"))
+    alone = vectors.select(F.col("id").cast("long").alias("id")).join(found, "id", "left_anti")
+    numbered = global_position(alone, [F.asc("id")], "_n").select("id", (F.lit(k - 1) + F.col("_n")).cast("int").alias("cluster"))
+    return found.unionByName(numbered)
 
 
 def contingency(a: DataFrame, b: DataFrame, a_col: str = "kmeans", b_col: str = "spectral") -> DataFrame:

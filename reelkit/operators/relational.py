@@ -16,12 +16,15 @@ Scale notes
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from reelkit.session import cut_lineage
+
 
 def _cols(cols) -> list:
     if cols is None:
@@ -41,6 +44,34 @@ def quantile(col, p: float, exact: bool = True, accuracy: int = 100_000) -> Colu
     return F.percentile(c, p) if exact else F.percentile_approx(c, p, accuracy).cast("double")
 
 
+def exact_quantile(df: DataFrame, col, p: float, accuracy: int = 10_000) -> Column:
+    """The exact quantile with linear interpolation, as a literal; NULL without values.
+
+    ``F.percentile`` gathers every distinct value in its final task.  Here a
+    mergeable sketch brackets the quantile, and the counts of the values in the
+    bracket (about n / accuracy rows, copies of a value combined before the
+    shuffle; all smaller ones as one) give the two values at the rank.  Three
+    aggregates over one column; the driver sees a row of each.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    v = df.select(c.cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    eps = 2.0 / accuracy
+    n, lo, hi = v.agg(F.count(F.lit(1)), F.percentile_approx("_v", max(0.0, p - eps), accuracy),
+                      F.percentile_approx("_v", min(1.0, p + eps), accuracy)).first()
+    if not n:
+        return F.lit(None).cast("double")
+    # a value more on either side: on few rows the sketch's ranks are off by one against interpolation
+    lo, hi = v.agg(F.coalesce(F.max(F.when(F.col("_v") < lo, F.col("_v"))), F.lit(lo)),
+                   F.coalesce(F.min(F.when(F.col("_v") > hi, F.col("_v"))), F.lit(hi))).first()
+    key = F.when(F.col("_v") < lo, F.lit(float("-inf"))).otherwise(F.col("_v"))
+    inside = v.filter(F.col("_v") <= hi).groupBy(key.alias("_v")).agg(F.count(F.lit(1)).alias("_k"))
+    upto = F.sum("_k").over(Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    rank = (n - 1) * p
+    at = lambda r: F.min(F.when(F.col("_upto") > r, F.col("_v")))
+    low, high = inside.withColumn("_upto", upto).agg(at(math.floor(rank)), at(math.ceil(rank))).first()
+    return F.lit(low + (rank - math.floor(rank)) * (high - low))
+
+
 def scalar(df: DataFrame, expr: Column) -> Column:
     """One aggregate over a whole DataFrame as a scalar-subquery Column."""
     return df.select(expr).scalar()
@@ -54,7 +85,8 @@ def filter_at_least_quantile(df: DataFrame, col: str, p: float, scope: DataFrame
     (popularity chart) or the filtered matches (knowledge chart).
     """
     base = df if scope is None else scope
-    return df.filter(F.col(col) >= scalar(base, quantile(col, p, exact)))
+    m = exact_quantile(base, col, p) if exact else scalar(base, quantile(col, p, exact))
+    return df.filter(F.col(col) >= m)
 
 
 # --------------------------------------------------------------------------
@@ -127,12 +159,25 @@ def hash_slice(hex_hash: Column, group_size: Column, target: int = 100_000) -> C
     return F.when(group_size <= target, F.lit("")).otherwise(F.substr(hex_hash, F.lit(1), digits))
 
 
-def surrogate_id(df: DataFrame, order: str, id_col: str = "movieId", width: int = 100_000) -> DataFrame:
-    """Dense 1..n id following a numeric key, without a single-task window.
+def global_position(df: DataFrame, order: Sequence[Column], pos_col: str = "pos") -> DataFrame:
+    """1-based position of every row under a total order, without a single-task window.
 
-    Slices are key ranges of ``width``; the slice-count table has n/width rows.
+    Rows are range-partitioned by the data, so sparse keys make even slices,
+    and stored once with their slice, so that counts and numbers see the same
+    slices; the slice-count table has a row a partition.
     """
-    return position_in_group(df, [], [order], F.floor(F.col(order) / width), pos_col=id_col)
+    dealt = cut_lineage(df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()))
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (dealt.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    local = F.row_number().over(Window.partitionBy("_slice").orderBy(*order))
+    return (dealt.withColumn("_local", local).join(offsets, "_slice")
+                 .withColumn(pos_col, F.col("_off") + F.col("_local")).drop("_slice", "_off", "_local"))
+
+
+def surrogate_id(df: DataFrame, order: str, id_col: str = "movieId") -> DataFrame:
+    """Dense 1..n id following a key, without a single-task window."""
+    return global_position(df, [F.asc(order)], id_col)
 
 
 # --------------------------------------------------------------------------

@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelkit.functions.clean import to_bigint_id, to_double, year_int
-from reelkit.functions.nested import names_lower, parse_literal_list
+from reelkit.functions.nested import names_lower, with_parsed_literals
 from reelkit.functions.scores import weighted_rating
-from reelkit.operators.relational import quantile, scalar
+from reelkit.operators.relational import exact_quantile, global_position, quantile, scalar
 
 
 def _lit(x) -> Column:
@@ -29,9 +29,8 @@ def clean_catalogue(raw: DataFrame) -> DataFrame:
     names (X1, X2), budget -> double (P4), release_date -> year int, 0 when
     missing (P10, P12).
     """
-    return (raw.select(to_bigint_id("id").alias("id"), "title",
-                       names_lower(parse_literal_list(F.coalesce(F.col("genres"), F.lit("[]"))))
-                       .alias("genres"),
+    parsed = with_parsed_literals(raw.withColumn("genres", F.coalesce(F.col("genres"), F.lit("[]"))), "genres")
+    return (parsed.select(to_bigint_id("id").alias("id"), "title", names_lower("genres").alias("genres"),
                        to_double("budget").alias("budget"),
                        "revenue", "runtime", "vote_average", "vote_count",
                        year_int("release_date").alias("year"))
@@ -57,9 +56,9 @@ def popularity_chart(movies: DataFrame, min_runtime=45, max_runtime=300,
     table; keep runtime in [min, max] and vote_count >= m; top n by score,
     ties by id.
     """
-    stats = scalar(movies, F.struct(quantile("vote_count", min_votes_percentile, exact).alias("m"),
-                                    F.avg("vote_average").alias("c")))
-    m, c = stats["m"], stats["c"]
+    m = (exact_quantile(movies, "vote_count", min_votes_percentile) if exact
+         else scalar(movies, quantile("vote_count", min_votes_percentile, exact)))
+    c = scalar(movies, F.avg("vote_average"))
     qualified = movies.filter(F.col("runtime").between(min_runtime, max_runtime)
                               & (F.col("vote_count") >= m))
     scored = qualified.withColumn("score", weighted_rating("vote_count", "vote_average", m, c))
@@ -87,9 +86,8 @@ def chart_defaults(gen_df: DataFrame, preferred_genre: str = "animation",
                                    F.max(F.col("genre") == F.lit(preferred_genre)).alias("has_pref")))
     top_genre, has_pref = pick["top"], pick["has_pref"]
     valid_rt = F.when(F.col("runtime") > 0, F.col("runtime"))
-    ranges = gen_df.agg(
-        F.percentile(valid_rt, 0.25).alias("q25"), F.percentile(valid_rt, 0.75).alias("q75"),
-        F.min("year").alias("ymin"), F.max("year").alias("ymax"))
+    ranges = (gen_df.agg(F.min("year").alias("ymin"), F.max("year").alias("ymax"))
+              .withColumn("q25", exact_quantile(gen_df, valid_rt, 0.25)).withColumn("q75", exact_quantile(gen_df, valid_rt, 0.75)))
     ymin = F.when(F.col("ymin").isNull() | (F.col("ymin") <= 0), F.lit(1900)).otherwise(F.col("ymin"))
     ymax = F.coalesce(F.col("ymax"), F.lit(2023))
     return ranges.select(
@@ -106,21 +104,20 @@ def knowledge_chart(gen_df: DataFrame, genre, low_time, high_time, low_year, hig
 
     Parameters may be Python values or scalar Columns (e.g. from
     ``chart_defaults``).  When no match reaches m the matches come back sorted
-    by vote_average with a NULL score (typed, D18).
+    by vote_average with a NULL score (typed, D18).  ``rank`` is the place in that order.
     """
     matches = gen_df.filter((F.col("genre") == _lit(genre))
                             & (F.col("runtime") >= _lit(low_time)) & (F.col("runtime") <= _lit(high_time))
                             & (F.col("year") >= _lit(low_year)) & (F.col("year") <= _lit(high_year)))
-    stats = scalar(matches, F.struct(quantile("vote_count", percentile).alias("m"),
-                                     F.avg("vote_average").alias("c"),
-                                     F.max("vote_count").alias("top")))
-    m, c = stats["m"], stats["c"]
+    stats = scalar(matches, F.struct(F.avg("vote_average").alias("c"), F.max("vote_count").alias("top")))
+    m, c = exact_quantile(matches, "vote_count", percentile), stats["c"]
     qualified = matches.filter(F.col("vote_count") >= m)
     # some match reaches m  <=>  the largest vote count does
     any_qualified = F.coalesce(stats["top"] >= m, F.lit(False))
     scored = qualified.withColumn("score", weighted_rating("vote_count", "vote_average", m, c))
     fallback = matches.filter(~any_qualified).withColumn("score", F.lit(None).cast("double"))
-    return scored.unionByName(fallback)
+    order = [F.desc_nulls_last(F.round("score", 9)), F.desc_nulls_last("vote_average"), F.asc("id")]
+    return global_position(scored.unionByName(fallback), order, "rank").orderBy("rank")
 
 
 def knowledge_chart_from_defaults(gen_df: DataFrame, percentile: float = 0.8,
@@ -133,8 +130,7 @@ def knowledge_chart_from_defaults(gen_df: DataFrame, percentile: float = 0.8,
     """
     from reelkit.session import cut_lineage
     gen_df = cut_lineage(gen_df)
-    d = chart_defaults(gen_df, preferred_genre=preferred_genre)
-    p = scalar(d, F.struct(*d.columns))
+    p = chart_defaults(gen_df, preferred_genre=preferred_genre).first()  # one row of parameters
     return knowledge_chart(gen_df, p["genre"], p["low_time"], p["high_time"],
                            p["low_year"], p["high_year"], percentile)
 

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from reelkit.functions.clean import (title_year, to_bigint_id, to_date, to_double, to_int_or_zero,
                                      year_int, year_string)
 from reelkit.functions.scores import weighted_rating
-from reelkit.operators.relational import (filter_at_least_quantile, frequency, quantile,
+from reelkit.operators.relational import (exact_quantile, filter_at_least_quantile, frequency,
                                           sample_per_group, scalar, surrogate_id, top_n)
 from reelkit.plans.catalog import W, r6, register
 from reelkit.plans.charts import (chart_defaults, clean_catalogue, explode_genres,
                                   knowledge_chart_from_defaults, popularity_chart)
+from reelkit.plans.wrangling import budget_stats
 from reelkit.sources import proxy
 
 # Fixed parameters of the proxy catalogue: runtime (p_size) is 1-50, so the
@@ -267,8 +268,8 @@ def a5_runtime(spark, sf_dir):
 @register("A6_budget_mean_median", W("movies") + """
 SELECT round(avg(budget), 6) AS mean_budget, round(median(budget), 6) AS median_budget FROM movies""")
 def a6_budget(spark, sf_dir):
-    return movies(spark, sf_dir).agg(r6(F.avg("budget")).alias("mean_budget"),
-                                     r6(F.median("budget")).alias("median_budget"))
+    m = budget_stats(movies(spark, sf_dir))
+    return m.select(r6("mean").alias("mean_budget"), r6("median").alias("median_budget"))
 
 
 @register("A7_vote_quantiles", W("movies") + """
@@ -277,8 +278,8 @@ SELECT round(quantile_cont(vote_count, 0.25), 6) AS q25, round(quantile_cont(vot
 FROM movies""")
 def a7_quantiles(spark, sf_dir):
     m = movies(spark, sf_dir)
-    return m.agg(*[r6(quantile("vote_count", p)).alias(n)
-                   for p, n in ((0.25, "q25"), (0.75, "q75"), (0.8, "q80"), (0.9, "q90"))])
+    return spark.range(1).select(*[r6(exact_quantile(m, "vote_count", p)).alias(n)
+                                   for p, n in ((0.25, "q25"), (0.75, "q75"), (0.8, "q80"), (0.9, "q90"))])
 
 
 @register("A14_available_genres", W("movies") + GEN_SQL + """
@@ -373,8 +374,8 @@ SELECT id, round(vote_count / (vote_count + m) * vote_average + m / (m + vote_co
 FROM movies, st""")
 def x8_weighted_rating(spark, sf_dir):
     m = movies(spark, sf_dir)
-    st = scalar(m, F.struct(quantile("vote_count", 0.8).alias("m"), F.avg("vote_average").alias("c")))
-    return m.select("id", r6(weighted_rating("vote_count", "vote_average", st["m"], st["c"])).alias("score"))
+    votes, mean = exact_quantile(m, "vote_count", 0.8), scalar(m, F.avg("vote_average"))
+    return m.select("id", r6(weighted_rating("vote_count", "vote_average", votes, mean)).alias("score"))
 
 
 # --------------------------------------------------------------------------
@@ -415,11 +416,14 @@ def r3_chart_defaults(spark, sf_dir):
 , chart AS (SELECT * FROM q
             UNION ALL SELECT matches.*, NULL AS score FROM matches WHERE NOT EXISTS (SELECT 1 FROM q))
 SELECT id, title, genre, runtime, CAST(year AS INTEGER) AS year, vote_count,
-       round(vote_average, 6) AS vote_average, round(score, 6) AS score FROM chart""")
+       round(vote_average, 6) AS vote_average, round(score, 6) AS score,
+       row_number() OVER (ORDER BY round(score, 9) DESC NULLS LAST, vote_average DESC NULLS LAST, id) AS rank
+FROM chart""")
 def r2_knowledge_chart(spark, sf_dir):
     chart = knowledge_chart_from_defaults(gen_df(spark, sf_dir))
     return chart.select("id", "title", "genre", "runtime", F.col("year").cast("int").alias("year"),
-                        "vote_count", r6("vote_average").alias("vote_average"), r6("score").alias("score"))
+                        "vote_count", r6("vote_average").alias("vote_average"), r6("score").alias("score"),
+                        F.col("rank").cast("bigint").alias("rank"))
 
 
 # --------------------------------------------------------------------------

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reelkit.functions.clean import sanitize, sanitize_array
-from reelkit.functions.nested import director, first_names, names, parse_literal_list
+from reelkit.functions.nested import director, first_names, names, with_parsed_literals
 from reelkit.operators import text
 from reelkit.plans import content
 from reelkit.plans.catalog import W, r6, register
@@ -179,25 +179,26 @@ SELECT c.id, len(regexp_extract_all(c."cast", """ + NAME_RE + """, 1)) AS n_cast
        len(regexp_extract_all(k.keywords, """ + NAME_RE + """, 1)) AS n_keywords
 FROM credits c JOIN keywords k USING (id)""")
 def x1_parse(spark, sf_dir):
-    c = proxy.credits(spark, sf_dir).join(proxy.keywords(spark, sf_dir), "id")
-    return c.select("id", F.size(parse_literal_list("cast")).cast("bigint").alias("n_cast"),
-                    F.size(parse_literal_list("crew")).cast("bigint").alias("n_crew"),
-                    F.size(parse_literal_list("keywords")).cast("bigint").alias("n_keywords"))
+    c = with_parsed_literals(proxy.credits(spark, sf_dir).join(proxy.keywords(spark, sf_dir), "id"),
+                             ["cast", "crew", "keywords"])
+    return c.select("id", F.size("cast").cast("bigint").alias("n_cast"),
+                    F.size("crew").cast("bigint").alias("n_crew"),
+                    F.size("keywords").cast("bigint").alias("n_keywords"))
 
 
 @register("X3_director", W("credits") + """
 SELECT id, nullif(regexp_extract(crew, """ + DIRECTOR_RE + """, 1), '') AS director FROM credits""")
 def x3_director(spark, sf_dir):
-    c = proxy.credits(spark, sf_dir)
-    return c.select("id", director(parse_literal_list("crew")).alias("director"))
+    c = with_parsed_literals(proxy.credits(spark, sf_dir), ["cast", "crew"])
+    return c.select("id", director("crew").alias("director"))
 
 
 @register("X4_first_three_names", W("credits") + """
 SELECT id, array_to_string(regexp_extract_all("cast", """ + NAME_RE + """, 1)[1:3], '|') AS top_cast
 FROM credits""")
 def x4_first_names(spark, sf_dir):
-    c = proxy.credits(spark, sf_dir)
-    return c.select("id", F.array_join(first_names(parse_literal_list("cast"), 3), "|").alias("top_cast"))
+    c = with_parsed_literals(proxy.credits(spark, sf_dir), ["cast", "crew"])
+    return c.select("id", F.array_join(first_names("cast", 3), "|").alias("top_cast"))
 
 
 @register("X5_sanitize", W("credits") + """
@@ -206,10 +207,10 @@ SELECT id, array_to_string(list_transform(regexp_extract_all("cast", """ + NAME_
        lower(replace(nullif(regexp_extract(crew, """ + DIRECTOR_RE + """, 1), ''), ' ', '')) AS director
 FROM credits""")
 def x5_sanitize(spark, sf_dir):
-    c = proxy.credits(spark, sf_dir)
-    return c.select("id", F.array_join(sanitize_array(names(parse_literal_list("cast"))), "|")
+    c = with_parsed_literals(proxy.credits(spark, sf_dir), ["cast", "crew"])
+    return c.select("id", F.array_join(sanitize_array(names("cast")), "|")
                     .alias("cast_tokens"),
-                    sanitize(director(parse_literal_list("crew"))).alias("director"))
+                    sanitize(director("crew")).alias("director"))
 
 
 # -------------------------------------------------------------------- X14 (rows-only)
@@ -232,5 +233,5 @@ def v8_lsh_pairs(spark, sf_dir):
     """Approximate pairs with TF-IDF cosine >= 0.8 over all overviews (opt-in V8 path)."""
     d = _overviews(spark, sf_dir)
     w = text.tfidf(d.select("id", F.coalesce("overview", F.lit("")).alias("t")), "id", "t")
-    pairs = text.lsh_similar_pairs(w, threshold=0.8, num_features=1 << 18)
+    pairs = text.lsh_similar_pairs(w, threshold=0.8)
     return pairs.select("src_id", "dst_id", r6("similarity").alias("similarity"))

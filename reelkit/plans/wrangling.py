@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelkit.operators.relational import exact_quantile
+
 from reelkit.functions.clean import to_double, year_string
 
 
@@ -44,7 +46,7 @@ def runtime_stats(df: DataFrame, column: str = "runtime") -> DataFrame:
 
 def budget_stats(df: DataFrame, column: str = "budget") -> DataFrame:
     """Mean and median."""
-    return df.agg(F.avg(column).alias("mean"), F.median(column).alias("median"))
+    return df.agg(F.avg(column).alias("mean")).withColumn("median", exact_quantile(df, column, 0.5))
 
 
 def year_histogram(df: DataFrame, year_col: str = "year", first: int = 10) -> DataFrame:
