@@ -257,7 +257,7 @@ def boosted_classifier(vectors: DataFrame, test_size: float = 0.25, seed: int =
     from reelkit.operators.cf import random_split
     split = random_split(vectors, "id", test_size, seed)
     idx = StringIndexer(inputCol="label", outputCol="_y", stringOrderType="alphabetAsc")
-    ovr = OneVsRest(classifier=GBTClassifier(maxIter=max_iter, seed=seed), featuresCol="_v", labelCol="_y",
+    ovr = OneVsRest(classifier=GBTClassifier(maxIter=max_iter, seed=seed), parallelism=4, featuresCol="_v", labelCol="_y",
                     predictionCol="_p")
     model = Pipeline(stages=[idx, ovr]).fit(_vec(split.filter(~F.col("is_test"))))
     pred = model.transform(_vec(split.filter(F.col("is_test"))))

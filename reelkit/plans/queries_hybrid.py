@@ -78,6 +78,24 @@ def r22_blends(spark, sf_dir):
                       .alias("switching_score"))
 
 
+@register("R15_top_unrated", W("ratings", "movies") + """
+, cells AS (SELECT user_id, movie_id, avg(rating) AS r FROM ratings GROUP BY user_id, movie_id)
+, mm AS (SELECT movie_id, avg(r) AS est FROM cells GROUP BY movie_id)
+, items AS (SELECT m.id AS movie_id, m.title, coalesce(mm.est, 3.0) AS pred FROM movies m LEFT JOIN mm ON mm.movie_id = m.id)
+, ranked AS (SELECT u.user_id, i.*, row_number() OVER (PARTITION BY u.user_id ORDER BY round(i.pred, 9) DESC, i.movie_id) AS rank
+             FROM (SELECT DISTINCT user_id FROM ratings) u CROSS JOIN items i
+             WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.user_id = u.user_id AND r.movie_id = i.movie_id))
+SELECT user_id, rank, movie_id, title, round(pred, 6) AS pred FROM ranked WHERE rank <= 5""")
+def r15_top_unrated(spark, sf_dir):
+    from reelkit.plans.queries_charts import movies
+    ratings = proxy.ratings(spark, sf_dir)
+    mean = cf.movie_means(cf.cell_means(ratings))
+    items = (movies(spark, sf_dir).select(F.col("id").alias("movie_id"), "title").join(mean, "movie_id", "left")
+             .withColumn("pred", F.coalesce("movie_mean", F.lit(3.0))))
+    out = hybrid.top_unrated(ratings.select("user_id"), ratings, items, 5)
+    return out.select("user_id", F.col("rank").cast("bigint").alias("rank"), "movie_id", "title", r6("pred").alias("pred"))
+
+
 # ------------------------------------------------------------------ factorisation (rows-only)
 
 @register("R13_svd_predictions", None)
