@@ -6,7 +6,6 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -340,9 +339,8 @@ def _judged(gram: int, length: int, full: bool, last: bool):
                 if last:
                     yield pa.RecordBatch.from_arrays(cols, names=[*NAMES, "others"])
                     continue
-                keep = pa.array(waits)
                 rest = ["text", "settled", "ranges", "unsettled"]
-                held = [pa.compute.if_else(keep, part.column("text"), pa.scalar(None, part.column("text").type))]
+                held = [pa.array([t if w else None for t, w in zip(texts, waits, strict=True)], part.column("text").type)]
                 held += [pa.array([x if w else None for x, w in zip(part.column(c).to_pylist(), waits, strict=True)],
                                   part.column(c).type) for c in rest[1:]]
                 yield pa.RecordBatch.from_arrays([*cols, part.column("tag"), *held], names=[*NAMES, "others", "tag", *rest])
