@@ -93,3 +93,24 @@ def test_id_mapping_with_and_without_links(spark):
     assert m == {1: "862", 2: "949"}
     numbered = {r.id: r.movieId for r in hybrid.id_mapping(meta).collect()}
     assert numbered == {"862": 1, "949": 2}
+
+
+def test_spectral_keeps_far_points(spark):
+    from reelkit.operators.mining import spectral
+    rows = [(i, [float(i % 7) * 0.01 + (0.0 if i < 20 else 50.0), float(i % 3) * 0.01], "a") for i in range(40)]
+    rows += [(100, [90_000.0, -70_000.0], "a")]
+    df = spark.createDataFrame(rows, "id long, features array<double>, label string")
+    got = {r.id: r.cluster for r in spectral(df, k=2, n_neighbors=5).collect()}
+    assert set(got) == {r[0] for r in rows}
+
+
+def test_top_unrated_for_all_users(spark):
+    from reelkit.plans.hybrid import top_unrated
+    items = [(m, f"t{m}", float(m * 7 % 5)) for m in range(12)]
+    rated = [(1, m) for m in range(9)] + [(2, 3), (2, 3)] + [(3, m) for m in range(12)]
+    got = top_unrated(spark.createDataFrame([(u,) for u in (1, 2, 3, 4)], "user_id long"), spark.createDataFrame(rated, "user_id long, movie_id long"),
+                      spark.createDataFrame(items, "movie_id long, title string, pred double"), 4).collect()
+    for u in (1, 2, 3, 4):
+        own = {m for v, m in rated if v == u}
+        want = [m for m, _, _ in sorted((x for x in items if x[0] not in own), key=lambda x: (-x[2], x[0]))][:4]
+        assert [r.movie_id for r in sorted(got, key=lambda r: r["rank"]) if r.user_id == u] == want

@@ -18,7 +18,7 @@ def test_position_in_group_matches_row_number_with_forced_slices(spark):
 
 def test_surrogate_ids_dense(spark):
     df = spark.range(0, 30000, 7).withColumnRenamed("id", "k")
-    ids = surrogate_id(df, "k", "sid", width=1000)
+    ids = surrogate_id(df, "k", "sid")
     r = ids.agg(F.min("sid"), F.max("sid"), F.countDistinct("sid")).first()
     assert (r[0], r[1], r[2]) == (1, df.count(), df.count())
     assert ids.filter(F.col("k") == 14).first().sid == 3
@@ -48,3 +48,23 @@ def test_cap_catalogue_default_keeps_all(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 9.0), (3, 9.0), (4, None)], "id long, vote_count double")
     assert cap_catalogue(df).count() == 4
     assert [r.id for r in cap_catalogue(df, 2).collect()] == [2, 3]
+
+
+def test_exact_quantile_is_numpys(spark):
+    import numpy as np
+
+    from reelkit.operators.relational import exact_quantile
+    rng = np.random.default_rng(5)
+    for values in ([3.0], [1.0, 2.0], [5.0] * 40 + [7.0], rng.normal(size=999).round(2).tolist(), rng.integers(0, 9, 500).astype(float).tolist()):
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
+        for p in (0.0, 0.25, 0.5, 0.8, 0.9, 1.0):
+            got = spark.range(1).select(exact_quantile(df, "x", p, accuracy=100)).first()[0]
+            assert abs(got - np.quantile(values, p)) < 1e-9
+    assert spark.range(1).select(exact_quantile(df.filter("x > 100"), "x", 0.5)).first()[0] is None
+
+
+def test_global_position(spark):
+    from reelkit.operators.relational import global_position
+    keys = [i * i * 1_000_003 for i in range(300)]
+    df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(7)
+    assert sorted((r.k, r.pos) for r in global_position(df, [F.asc("k")]).collect()) == [(k, i + 1) for i, k in enumerate(keys)]
