@@ -15,9 +15,9 @@ OPENING, PARAGRAPH = ((64, 8), (512, 32)), 128
 #: Each of a digest's three cells lies in a subtable of its own; cells of a subtable in the fingerprint that is shown.
 TABLES, SHOWN = 3, 4
 #: Cells of a subtable for comparison at least, and for each digest of both sides.
-LEAST, LOAD = 16, 0.67
+LEAST, LOAD = 16, 2.0
 #: Rounds in which each subtable is peeled once, and enlargements before a comparison counts what is left.
-ROUNDS, RETRIES = 4, 6
+ROUNDS, RETRIES = 2, 6
 #: Stands for a null id.
 NO_ID = -(1 << 63)
 
@@ -83,12 +83,16 @@ def peel(entries: DataFrame, key: list[str], rounds: int = ROUNDS, seed: int = 0
         t = r % TABLES
         pure = ((F.floor(F.col("cell") / F.col("size")) == t) & (F.col("cell") >= 0) & (F.abs("n") == 1)
                 & (check(F.col("x")) == F.col("c")))
-        row = lambda cell, n, x, c: F.struct(cell.alias("cell"), n.alias("n"), x.alias("x"), c.alias("c"))
-        zero = F.lit(0)
-        taken = F.array(row(F.lit(-1), F.lit(1), zero, zero),
-                        *[row(cell(F.col("x"), o, F.col("size"), seed), -F.col("n"), F.col("x"), F.col("c")) for o in range(TABLES) if o != t])
-        kept = F.array(row(F.col("cell"), F.col("n"), F.col("x"), F.col("c")))
-        state = summed(state.select(*key, "size", F.explode(F.when(pure, taken).otherwise(kept)).alias("r")).select(*key, "size", "r.*"))
+        # a readable cell goes: one row to count its digest, one for each other cell that holds it
+        step = state.withColumn("pure", pure).select("*", each).filter("pure or t = 0")
+        other, taken = (F.col("t") + t) % TABLES, F.col("pure") & (F.col("t") > 0)
+        state = summed(step.select(
+            *key, "size",
+            F.when(~F.col("pure"), F.col("cell")).when(F.col("t") == 0, F.lit(-1))
+             .otherwise(cell(F.col("x"), other, F.col("size"), seed)).alias("cell"),
+            F.when(taken, -F.col("n")).when(F.col("pure"), F.lit(1)).otherwise(F.col("n")).alias("n"),
+            F.when(F.col("pure") & (F.col("t") == 0), F.lit(0)).otherwise(F.col("x")).alias("x"),
+            F.when(F.col("pure") & (F.col("t") == 0), F.lit(0)).otherwise(F.col("c")).alias("c")))
     return state.groupBy(*key).agg(F.coalesce(F.sum(F.when(F.col("cell") < 0, F.col("n"))), F.lit(0)).alias("found"),
                                    F.sum(F.when(F.col("cell") >= 0, 1).otherwise(0)).alias("left"))
 
