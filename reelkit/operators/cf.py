@@ -168,10 +168,24 @@ def predict_movie_mean(train: DataFrame, pairs: DataFrame) -> DataFrame:
                  .drop("movie_mean"))
 
 
-def _raters(cells: DataFrame, pairs: DataFrame) -> DataFrame:
+def sliced_join(pairs: DataFrame, members: DataFrame, key: str, member: str, target: int = 2000) -> DataFrame:
+    """Equi-join on ``key``, with the members of a hot key in slices of about ``target``.
+
+    A pair meets every slice of its key, each under a join key of its own, so
+    that no task holds all of a hot key's pairs and members at once; keys with
+    one slice are joined plainly.
+    """
+    slices = (members.groupBy(key).agg(F.count(F.lit(1)).alias("_k"))
+                     .select(key, F.greatest(F.lit(1), F.ceil(F.col("_k") / F.lit(target))).cast("int").alias("_b")))
+    left = pairs.join(slices, key).withColumn("_s", F.explode(F.sequence(F.lit(0), F.col("_b") - 1))).drop("_b")
+    right = members.join(slices, key).withColumn("_s", F.pmod(F.xxhash64(member), F.col("_b")).cast("int")).drop("_b")
+    return left.join(right, [key, "_s"]).drop("_s")
+
+
+def _raters(cells: DataFrame, pairs: DataFrame, target: int = 2000) -> DataFrame:
     """(pair, rater v, r_vm) for every rater of the pair's movie in training."""
     raters = cells.select("movie_id", F.col("user_id").alias("v"), F.col("r").alias("r_v"))
-    return pairs.select("rating_id", "user_id", "movie_id").join(raters, "movie_id")
+    return sliced_join(pairs.select("rating_id", "user_id", "movie_id"), raters, "movie_id", "v", target)
 
 
 def predict_user_wmean(train: DataFrame, pairs: DataFrame, stats: DataFrame | None = None) -> DataFrame:
@@ -250,7 +264,7 @@ def predict_item_knn(train: DataFrame, pairs: DataFrame, target: int = 2000) ->
     swapped = cells.select(F.col("movie_id").alias("user_id"), F.col("user_id").alias("movie_id"), "r")
     item_sim = user_cosine(swapped, user_pair_stats(swapped, target))
     own = cells.select("user_id", F.col("movie_id").alias("j"), F.col("r").alias("r_j"))
-    cand = (pairs.select("rating_id", "user_id", "movie_id").join(own, "user_id")
+    cand = (sliced_join(pairs.select("rating_id", "user_id", "movie_id"), own, "user_id", "j", target)
                  .join(item_sim.select(F.col("u").alias("movie_id"), F.col("v").alias("j"), "sim"),
                        ["movie_id", "j"]))
     agg = cand.groupBy("rating_id").agg(F.sum(F.col("sim") * F.col("r_j")).alias("_num"),
