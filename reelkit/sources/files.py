@@ -9,8 +9,8 @@ S19) - never silently.
 
 from __future__ import annotations
 
-import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
@@ -83,9 +83,21 @@ def read_keywords(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    """Whether a reader finds the path, on whatever storage it names: resolved by Spark, without reading a row."""
+    try:
+        spark.read.format("binaryFile").load(path).schema  # noqa: B018
+        return True
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
+def _holds_csv(spark: SparkSession, path: str) -> bool:
+    """Whether a path is a CSV file, or a folder with one in it, on any storage."""
+    if path.endswith(".csv"):
+        return True
+    return not spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path").limit(1).isEmpty()
 
 
 def first_existing(spark: SparkSession, paths) -> str | None:
@@ -104,7 +116,7 @@ def read_edges(spark: SparkSession, paths, empty_if_missing: bool = False) -> Da
         if empty_if_missing:
             return spark.createDataFrame([], EDGES)
         raise FileNotFoundError(f"no edge table at {paths}")
-    if p.endswith(".csv") or os.path.isdir(p) and any(f.endswith(".csv") for f in os.listdir(p)):
+    if _holds_csv(spark, p):
         return _csv(spark, EDGES, header=True).csv(p)
     return spark.read.schema(EDGES).parquet(p)
 

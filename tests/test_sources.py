@@ -74,3 +74,19 @@ def test_generators(spark):
     m = generators.moons(spark, 200, noise=0.0).collect()
     assert all(abs(p.x) < 2.1 and -0.6 < p.y < 1.1 for p in m)
     assert os.path.basename(__file__)
+
+
+def test_edges_from_csv_folder_parquet_or_nothing(spark, tmp_path):
+    import pytest
+
+    from reelkit.sources import files
+    rows = [(1, 2, 0.5), (2, 1, 0.25)]
+    df = spark.createDataFrame(rows, "movie_idx int, similar_idx int, similarity double")
+    files.write_table(df, f"{tmp_path}/c", fmt="csv")
+    files.write_table(df, f"{tmp_path}/p")
+    for name in ("c", "p"):
+        assert sorted(tuple(r) for r in files.read_edges(spark, [f"{tmp_path}/none", f"{tmp_path}/{name}"]).collect()) == rows
+    assert files.first_existing(spark, [f"{tmp_path}/none"]) is None
+    assert files.read_edges(spark, f"{tmp_path}/none", empty_if_missing=True).count() == 0
+    with pytest.raises(FileNotFoundError):
+        files.read_edges(spark, f"{tmp_path}/none")
