@@ -51,5 +51,5 @@ def W(*views: str) -> str:  # noqa: N802 - reads like SQL's WITH
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from reelkit.plans import (queries_charts, queries_content, queries_hybrid,  # noqa: F401
+    from reelkit.plans import (queries_charts, queries_content, queries_files, queries_hybrid,  # noqa: F401
                                queries_mining, queries_ratings)
