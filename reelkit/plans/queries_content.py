@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reelkit.functions.clean import sanitize, sanitize_array
-from reelkit.functions.nested import director, first_names, names, with_parsed_literals
+from reelkit.functions.nested import director, first_names, names, neighbour_map, with_parsed_literals
 from reelkit.operators import text
 from reelkit.plans import content
 from reelkit.plans.catalog import W, r6, register
@@ -171,6 +171,15 @@ def r16_similar(spark, sf_dir):
     return _titles_spark(spark, sf_dir, 25)
 
 
+@register("X12_neighbour_map", SOUP_SQL + PAIRS_SQL + """
+SELECT src_id, dst_id, round(similarity, 6) AS similarity FROM ranked WHERE rank <= 10""")
+def x12_neighbour_map(spark, sf_dir):
+    """A row an item with the map of its ten neighbours, opened again for comparison."""
+    maps = neighbour_map(content.metadata_similarity(_soups(spark, sf_dir), top=10))
+    return (maps.select("src_id", F.explode("neighbours").alias("dst_id", "similarity"))
+                .select("src_id", "dst_id", r6("similarity").alias("similarity")))
+
+
 # -------------------------------------------------------------------- X1-X5 on the credits
 
 @register("X1_parse_literals", W("credits", "keywords") + """

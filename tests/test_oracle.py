@@ -9,7 +9,7 @@ from reelkit.plans import catalog
 from reelkit.sources.proxy import TABLES
 
 SF = "/root/testdata/sf0.001"
-SLOW = ("R4_", "R5_", "R6_", "R16_", "R17_", "R18_", "R22_", "E6_", "E7_")
+SLOW = ("R4_", "R5_", "R6_", "R16_", "R17_", "R18_", "R22_", "E6_", "E7_", "X12_")
 
 
 def _norm(v):
