@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+from array import array
 from functools import lru_cache
 
 import pyarrow as pa
@@ -15,15 +16,21 @@ from reelkit.llm.vocab import PartCache
 
 #: Fixed value: the library writes a space as this character.
 SPACE = "▁"
-#: Parts that a worker keeps; each with its ids and their decimal text, about 500 bytes.
-ENTRIES = 350_000
+#: Parts that a worker keeps; at about 200 bytes each.
+ENTRIES = 300_000
+#: One in so many whole texts is also encoded by the library, and compared.
+CHECK_EVERY = 64
+
+
+#: Symbols up to which the agenda is a list, and what stands for a pair that makes no piece.
+SHORT, NONE = 40, float("inf")
 
 
 class Agenda:
     """Merges symbols of a part in the order of their pairs' scores, leftmost first among equals.
 
-    The agenda is a heap of adjacent pairs whose joined string is a piece.
-    Symbols are a doubly linked list; a pair popped after one of its symbols
+    The agenda is a heap of adjacent pairs whose joined string is a piece (for
+    short parts a list in the order of places, with the same result).  Symbols are a doubly linked list; a pair popped after one of its symbols
     has been merged is stale and skipped.
     """
 
@@ -42,6 +49,27 @@ class Agenda:
         self.breaks = [c for c in (SPACE, "\n") if not any(c in p[1:].lstrip(c if p[0] == c else "") for p in self.ids)]
 
     def symbols(self, part: str) -> list[str]:
+        return self._short(part) if len(part) <= SHORT else self._long(part)
+
+    def _short(self, part: str) -> list[str]:
+        """The agenda as a plain list in the order of places: for few symbols its least entry is found fastest so."""
+        score, none = self.score.get, NONE
+        sym = list(part)
+        agenda = [score(a + b, none) for a, b in zip(part, part[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == none:
+                break
+            i = agenda.index(best)
+            sym[i] += sym.pop(i + 1)
+            del agenda[i]
+            if i:
+                agenda[i - 1] = score(sym[i - 1] + sym[i], none)
+            if i < len(agenda):
+                agenda[i] = score(sym[i] + sym[i + 1], none)
+        return sym
+
+    def _long(self, part: str) -> list[str]:
         score = self.score
         sym, n = list(part), len(part)
         prev, nxt, gone = list(range(-1, n - 1)), list(range(1, n + 1)), [False] * n
@@ -88,23 +116,44 @@ class PieceEncoder:
     """Whole texts by parts: a part is what stands before the next space that follows another character.
 
     Every part that is new to this worker is encoded by the agenda, and the
-    batch of new parts is checked against the library; a difference raises.
+    batch of new parts that begin with a space, as well as some whole texts, is
+    checked against the library; a difference raises.
     """
 
     def __init__(self, model: str):
         self.agenda = Agenda(model)
         self.library = self.agenda.library
-        # the value of a part: its ids as little-endian bytes would do; decimal text is what the digest needs
-        self.known = PartCache(self._encode, lambda p: [p])
+        self.checked = 0
+        size = self.library.get_piece_size()
+        self.kind = "H" if size <= 1 << 16 else "I"
+        self.decimal = [str(i) for i in range(size)]
+        self.known = PartCache(lambda ps: self._encode(ps, SPACE), lambda p: self._split(p))
+        self.bare = PartCache(lambda ps: self._encode(ps, ""), lambda p: [(self.bare, p)])  # parts that no space precedes
         self.by_space = SPACE in self.agenda.breaks
+        self.by_line = "\n" in self.agenda.breaks
+        #: marks that no piece joins to a letter before them, so that they are parts of their own at a word's end
+        self.marks = {c for c in ".,;:!?" if not any(x.isalpha() and y == c for p in self.agenda.ids for x, y in zip(p, p[1:]))}
+
+    def _split(self, part: str) -> list[tuple[PartCache, str]]:
+        out, of = [], self.known
+        for i, x in enumerate(part.split("\n") if self.by_line else [part]):
+            if i:
+                out.append((self.bare, "\n"))
+                of = self.bare
+            if len(x) > 2 and x[-1] in self.marks and x[-2].isalpha():
+                out += [(of, x[:-1]), (self.bare, x[-1])]
+            elif x or of is self.known:
+                out.append((of, x))
+        return out
 
-    def _encode(self, parts: list[str]) -> list[tuple[str, tuple[int, ...]]]:
-        got = [self.agenda.encode(SPACE + p.replace(" ", SPACE)) for p in parts]
-        want = self.library.encode(parts, num_threads=1)
-        for p, a, b in zip(parts, got, want, strict=True):
-            if a != b and p:
-                raise AssertionError(f"agenda and library differ on {p!r}: {a} and {b}")
-        return [(" ".join(map(str, ids)), tuple(ids)) for ids in got]
+    def _encode(self, parts: list[str], before: str) -> list[bytes]:
+        got = [self.agenda.encode(before + p.replace(" ", SPACE)) for p in parts]
+        if before:
+            for p, a, b in zip(parts, got, self.library.encode(parts, num_threads=1), strict=True):
+                if a != b and p:
+                    raise AssertionError(f"agenda and library differ on {p!r}: {a} and {b}")
+        kind = self.kind
+        return [array(kind, ids).tobytes() for ids in got]
 
     def parts(self, text: str) -> list[str]:
         """Parts without the space before them; runs of spaces stay with the word that they precede."""
@@ -125,18 +174,18 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list[tuple[str, list[int]]]:
         """(decimal ids, ids) of each text; an empty text has none."""
         cut = [self.parts(t) if t else [] for t in texts]
-        known = self.known
-        known.trim(ENTRIES, ENTRIES)
-        found = [list(map(known.__getitem__, ps)) for ps in cut]
-        if known.asked:
-            known.fill()
-            found = [list(map(known.__getitem__, ps)) for ps in cut]
+        self.bare.trim(ENTRIES)
+        found = self.known.values_of(cut, ENTRIES)
+        decimal = self.decimal.__getitem__
         out = []
         for values in found:
-            ids = []
-            for v in values:
-                ids += v[1]
-            out.append((" ".join([v[0] for v in values]), ids))
+            ids = memoryview(b"".join(values)).cast(self.kind).tolist()
+            out.append((" ".join(map(decimal, ids)), ids))
+        check = self.checked % CHECK_EVERY  # whole texts too, now and then: that parts join as the library joins them
+        for i in range(-check % CHECK_EVERY, len(texts), CHECK_EVERY):
+            if self.library.encode(texts[i]) != out[i][1]:
+                raise AssertionError(f"parts and library differ on {texts[i][:200]!r}")
+        self.checked += len(texts)
         return out
 
 

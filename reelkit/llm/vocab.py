@@ -12,8 +12,8 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Entries of a worker's caches: whole parts, and the stems that they are put together from; about 200 bytes each.
-CACHE_PARTS, CACHE_STEMS = 300_000, 900_000
+#: Entries of a worker's cache, at about 200 bytes each.
+CACHE_PARTS = 1_000_000
 
 
 def vocabulary_path(name: str) -> str:
@@ -47,48 +47,68 @@ def _plain_stem(part: str) -> bool:
 
 
 class PartCache(dict):
-    """part -> encoded value.  A part that is asked for and unknown is noted, and filled in with the next ``fill``.
+    """part -> encoded value.  A part that is asked for and unknown gives None and is noted, for the next ``fill``.
 
-    ``split`` cuts a part into stems, or refuses it (None); ``encode`` turns a
-    list of stems into values that join by ``+``.  Stems have a cache of their
-    own, which caches of one tokenizer may share.
+    ``split`` cuts a part into stems, each with the cache that holds it, or
+    refuses it (None); parts that are ``plain`` are stems themselves.
+    ``encode`` turns a list of stems into values that join by ``+``.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], split: Callable[[str], list[str] | None],
-                 stems: dict | None = None, nothing=None):
-        self.encode, self.split, self.asked = encode, split, set()
-        self.stems = {} if stems is None else stems
-        self.nothing = nothing
+    def __init__(self, encode: Callable[[list[str]], list], split: Callable[[str], list[tuple[PartCache, str]] | None],
+                 plain: Callable[[str], bool] = str.isalpha):
+        self.encode, self.split, self.plain, self.asked, self.old = encode, split, plain, set(), {}
 
-    def __missing__(self, part: str):
+    def __missing__(self, part: str) -> None:
         self.asked.add(part)
-        return self.nothing
 
-    def trim(self, parts: int = CACHE_PARTS, stems: int = CACHE_STEMS) -> None:
-        """Empty a full cache; between batches only, as a batch needs all its parts at once."""
-        if len(self) > parts:
+    def trim(self, parts: int) -> None:
+        """Make a half-full cache the old one, from which parts come back as they are asked for: those that never are
+        go with the next one.  Between batches only, as a batch needs all its parts at once."""
+        if len(self) > parts // 2:
+            self.old = dict(self)
             self.clear()
-        if len(self.stems) > stems:
-            self.stems.clear()
 
-    def fill(self) -> set[str]:
-        """Encode what was asked for; what ``split`` refused."""
-        cut, refused, stems = {}, set(), self.stems
-        for p in self.asked:
+    def learn(self, stems: set[str]) -> None:
+        new = list(stems)
+        self.update(zip(new, self.encode(new), strict=True))
+
+    def fill(self) -> None:
+        """Encode what was asked for.  What ``split`` refuses stays unknown."""
+        asked, self.asked = self.asked, set()
+        back = asked & self.old.keys()
+        self.update({p: self.old[p] for p in back})
+        asked -= back
+        plain = set(filter(self.plain, asked))
+        cut, new = {}, {id(self): (self, plain)}
+        for p in asked - plain:
             subs = self.split(p)
-            if subs:
+            if not subs:
+                continue
+            if len(subs) > 1:
                 cut[p] = subs
-            else:
-                refused.add(p)
-        new = list({s for subs in cut.values() for s in subs if s not in stems})
-        stems.update(zip(new, self.encode(new), strict=True))
+            for cache, s in subs:
+                if s not in cache:
+                    new.setdefault(id(cache), (cache, set()))[1].add(s)
+        for cache, stems in new.values():
+            cache.learn(stems)
         for p, subs in cut.items():
-            v = stems[subs[0]]
-            for s in subs[1:]:
-                v = v + stems[s]
+            v = subs[0][0][subs[0][1]]
+            for cache, s in subs[1:]:
+                v = v + cache[s]
             self[p] = v
-        self.asked = set()
-        return refused
+
+    def values_of(self, cut: list[list[str]], parts: int) -> list[list]:
+        """The values of each text's parts; None for those that were refused."""
+        self.trim(parts)
+        found = [list(map(self.__getitem__, ps)) for ps in cut]
+        if self.asked:
+            self.fill()
+            for values, ps in zip(found, cut, strict=True):
+                if None in values:  # only unknown places are looked up again
+                    for i in [i for i, v in enumerate(values) if v is None]:
+                        values[i] = self.get(ps[i])
+            self.asked = set()
+        return found
 
 
 # ------------------------------------------------------------------ byte-level BPE (tokenizers library)
@@ -106,50 +126,39 @@ class ByteLevelParts:
     def __init__(self, path: str):
         self.tokenizer = library_tokenizer(path)
         self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        stems: dict[str, bytes] = {}
-        self.first = PartCache(self._encode, lambda p: self._split(p, ""), stems, b"")
-        self.later = PartCache(self._encode, lambda p: self._split(p, " "), stems, b"")
+        self.first = PartCache(self._encode, lambda p: self._split(p, self.first))
+        self.later = PartCache(lambda ps: self._encode([" " + p for p in ps]), lambda p: self._split(p, self.later))
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         kind = self.kind
         return [array(kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
-    @staticmethod
-    def _split(part: str, before: str) -> list[str] | None:
+    def _split(self, part: str, of: PartCache) -> list[tuple[PartCache, str]] | None:
+        """Stems of a part that follows a space (``later``) or none (``first``)."""
         if not part or part[0].isspace() or part[-1].isspace():
             return None
+        if "\n" not in part:
+            return [(of, part[:-1]), (self.first, part[-1])] if _plain_stem(part) else [(of, part)]
         lines = part.split("\n")
-        if len(lines) > 1 and any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
-            return [before + part]
+        if any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
+            return [(of, part)]
         out = []
         for i, x in enumerate(lines):
-            x = x if i else before + x
-            out += ["\n"] * (i > 0) + ([x[:-1], x[-1]] if _plain_stem(x) else [x])
+            if i:
+                out.append((self.first, "\n"))
+                of = self.first
+            out += [(of, x[:-1]), (self.first, x[-1])] if _plain_stem(x) else [(of, x)]
         return out
 
-    def _joined(self, parts: list[str]) -> bytes:
-        return self.first[parts[0]] + b"".join(map(self.later.__getitem__, parts[1:]))
-
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Unsigned 16-bit ids of each text, or 32-bit ones where the vocabulary needs them."""
-        first, later = self.first, self.later
-        first.trim()
-        later.trim()
         cut = [t.split(" ") for t in texts]
-        out, again, refused = [], [], set()
-        for i, parts in enumerate(cut):
-            before = len(first.asked) + len(later.asked)
-            out.append(self._joined(parts))
-            if len(first.asked) + len(later.asked) > before or not later.asked.isdisjoint(parts):
-                again.append(i)
-        if again:
-            refused = first.fill(), later.fill()
-            whole = [i for i in again if cut[i][0] in refused[0] or not refused[1].isdisjoint(cut[i][1:])]
-            for i in set(again).difference(whole):
-                out[i] = self._joined(cut[i])
-            for i, v in zip(whole, self._encode([texts[i] for i in whole]), strict=True):
-                out[i] = v
-        return [np.frombuffer(v, dtype=self.kind) for v in out]
+        heads = self.first.values_of([parts[:1] for parts in cut], CACHE_PARTS // 4)
+        rest = self.later.values_of([parts[1:] for parts in cut], CACHE_PARTS)
+        whole = [i for i, (h, r) in enumerate(zip(heads, rest, strict=True)) if None in h or None in r]
+        refused = dict(zip(whole, self._encode([texts[i] for i in whole]), strict=True))
+        return [np.frombuffer(refused[i] if i in refused else b"".join(h + r), dtype=self.kind)
+                for i, (h, r) in enumerate(zip(heads, rest, strict=True))]
 
 
 # ------------------------------------------------------------------ counts under any file
@@ -165,25 +174,20 @@ class WordCounts:
 
     def __init__(self, path: str):
         self.tokenizer = library_tokenizer(path)
-        self.known = PartCache(self._encode, self._split, nothing=0)
+        self.known = PartCache(self._encode, self._split, lambda p: p.isalpha() and (p.islower() or not p.isascii()))
 
-    @staticmethod
-    def _split(part: str) -> list[str]:
-        part = part.lower() if part.isascii() else part
-        return [part[:-1], part[-1]] if _plain_stem(part) else [part]
+    def _split(self, part: str) -> list[tuple[PartCache, str]]:
+        lower = part.lower() if part.isascii() else part
+        if _plain_stem(lower):
+            return [(self.known, lower[:-1]), (self.known, lower[-1])]
+        return [(self.known, part)] if lower == part else [(self.known, lower), (self.known, "")]
 
     def _encode(self, parts: list[str]) -> list[int]:
         return [len(e) for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
     def counts(self, texts: list[str]) -> list[int]:
         cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        known = self.known
-        known.trim()
-        found = [sum(map(known.__getitem__, parts)) for parts in cut]
-        if known.asked:
-            known.fill()
-            found = [sum(map(known.__getitem__, parts)) for parts in cut]
-        return found
+        return [sum(v) for v in self.known.values_of(cut, CACHE_PARTS)]
 
 
 class WholeCounts:
