@@ -18,20 +18,23 @@ def spread(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-_POWERS = np.ones(1, np.uint64)
+#: Powers that are kept between calls; longer runs are made when asked for and let go.
+KEPT = 1 << 18
+INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 
-def powers(n: int) -> np.ndarray:
-    """BASE to 0 .. n, kept for the next call."""
-    global _POWERS
-    if len(_POWERS) <= n:
-        size = max(n + 1, 2 * len(_POWERS))
-        out = np.empty(size, np.uint64)
-        out[0] = 1
-        out[1:] = BASE
-        with np.errstate(over="ignore"):
-            _POWERS = np.multiply.accumulate(out, dtype=np.uint64)
-    return _POWERS
+def _run(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n + 1, base)
+    out[0] = 1
+    return np.multiply.accumulate(out, dtype=np.uint64)
+
+
+_UP, _DOWN = _run(BASE, KEPT), _run(INVERSE, KEPT)
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """BASE to 0 .. n and to 0 .. -n, at least."""
+    return (_UP, _DOWN) if n <= KEPT else (_run(BASE, n), _run(INVERSE, n))
 
 
 class Prefixes:
@@ -42,17 +45,12 @@ class Prefixes:
     verified on the bytes wherever they decide.
     """
 
-    def __init__(self, data: np.ndarray, block: int = 1 << 20):
+    def __init__(self, data: np.ndarray):
         self.data = data
         n = len(data)
-        # within a block, sum of value * BASE^-position as running sums; no block is longer than the powers kept
+        self.pow, self.neg = powers(n)
         self.prefix = np.zeros(n + 1, np.uint64)
-        with np.errstate(over="ignore"):
-            p = powers(n)
-            inv = pow(int(BASE), -1, 1 << 64)
-            self.neg = _negative(n, inv)
-            np.cumsum(VALUES[data] * self.neg[:n], dtype=np.uint64, out=self.prefix[1:])
-        self.pow = p
+        np.cumsum(VALUES[data] * self.neg[:n], dtype=np.uint64, out=self.prefix[1:])
 
     def hash(self, start, length):
         """Of the substrings from ``start`` (an array), each of ``length`` bytes (a number or an array)."""
@@ -60,19 +58,6 @@ class Prefixes:
         return (self.prefix[end] - self.prefix[start]) * self.pow[end - 1]
 
 
-_NEGATIVE = np.ones(1, np.uint64)
-
-
-def _negative(n: int, inv: int) -> np.ndarray:
-    global _NEGATIVE
-    if len(_NEGATIVE) <= n:
-        size = max(n + 1, 2 * len(_NEGATIVE))
-        out = np.full(size, np.uint64(inv))
-        out[0] = 1
-        _NEGATIVE = np.multiply.accumulate(out, dtype=np.uint64)
-    return _NEGATIVE
-
-
 def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     """Position of the leftmost minimum of each window of ``width`` values."""
     n = len(values)

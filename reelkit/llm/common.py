@@ -62,6 +62,7 @@ def pieces(batch: pa.RecordBatch, col: str, budget: int) -> Iterator[pa.RecordBa
         held += n
     if start < batch.num_rows:
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # a worker that waits for its next task shouldn't hold old batches
 
 
 def positions(df: DataFrame, order: list[str | Column], name: str) -> DataFrame:

@@ -17,7 +17,7 @@ from reelkit.llm.common import partitions_of, pieces, stored, text_or_empty
 GRAM = 24
 LENGTH = 100
 #: Contexts sorted at once, but for a larger group, and the size above which a group is not sorted in one task.
-CHUNK, LARGE = 50_000, 200_000
+CHUNK, LARGE = 20_000, 200_000
 #: In ``loc``, the row's tag (which tells rows that share an id apart) stands above the position.
 TAG = 40
 #: Stands for a null id, and sorts before all others.
