@@ -60,11 +60,19 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row as often as operator 9 takes it: none, once or twice."""
-    row = F.struct(*[_column(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("row")
-    mixed = mixing.mix(docs.select("doc_id", "text", "source", row), keep=("row",))
-    copies = mixed.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return copies.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    """Each row as often as operator 9 takes it: none, once or twice.
+
+    The operator sees no more of a row than its size and a key; texts are dealt
+    once, by that key, to meet their number of copies.  Rows of one key (same
+    id, source and text) share their copies evenly."""
+    key, nth, copies, many = (_free(docs, c) for c in ("row_key", "nth", "copies", "many"))
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("source").isNull(), "source", F.col("text").isNull(), "text"))
+    taken = (mixing.mix(keyed.select("doc_id", "text", "source", F.col(key).alias("row_key")), keep=("row_key",))
+             .groupBy(F.col("row_key").alias(key)).agg(F.sum("copies").alias(copies), F.count(F.lit(1)).alias(many)))
+    rows = keyed.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(key))).join(taken, key)
+    upto = lambda n: F.floor(n * F.col(copies) / F.col(many))
+    own = (upto(F.col(nth)) - upto(F.col(nth) - 1)).cast("int")
+    return rows.withColumn(nth, F.explode(F.array_repeat(F.lit(1), own))).select(*[_column(c) for c in docs.columns])
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
