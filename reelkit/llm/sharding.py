@@ -148,9 +148,10 @@ def shards(docs: DataFrame, count: int = 16) -> DataFrame:
     begins = _literal([0, *ends[:-1]], own)
     rank = F.col("pos") - F.col("first")
     run = F.element_at(F.filter("runs", lambda r: r["rank0"] <= rank), -1)
-    out = placed.join(plan, placed.lg == plan.pg, "left").withColumn("run", run)
-    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"),
-                      F.when(F.col("lg").isNull(), own).otherwise(F.col("run.shard")).cast("int").alias("shard"),
-                      F.when(F.col("lg").isNull(), F.col("pos") - begins)
-                       .otherwise(F.col("run.slot0") + rank - F.col("run.rank0")).cast("long").alias("slot"),
-                      F.lit(None).cast("int").alias("grown_shard"))
+    single = placed.filter("lg is null").select("doc_id", "size", "text_crc32", own.alias("shard"), (F.col("pos") - begins).alias("slot"))
+    member = (placed.join(plan, placed.lg == plan.pg).withColumn("run", run)  # only these meet a plan: no null keys in the join
+              .select("doc_id", "size", "text_crc32", F.col("run.shard").alias("shard"),
+                      (F.col("run.slot0") + rank - F.col("run.rank0")).alias("slot")))
+    return single.unionByName(member).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"),
+        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
