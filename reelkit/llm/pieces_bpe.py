@@ -17,7 +17,7 @@ from reelkit.llm.vocab import PartCache
 #: Fixed value: the library writes a space as this character.
 SPACE = "▁"
 #: Parts that a worker keeps; at about 200 bytes each.
-ENTRIES = 300_000
+ENTRIES = 600_000
 #: One in so many whole texts is also encoded by the library, and compared.
 CHECK_EVERY = 64
 
