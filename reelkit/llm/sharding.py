@@ -122,7 +122,8 @@ def shards(docs: DataFrame, count: int = 16) -> DataFrame:
     rows = total[0] or 0
     quotas = [rows // count + (s < rows % count) for s in range(count)]
 
-    linked = groups.filter("many > 1").select("g")
+    # stored, so that Spark may split the joins with documents where a group is large
+    linked = stored(groups.filter("many > 1").select("g"), "linked")
     loose = [q + q // SLACK + 1 for q in quotas]
     state = settle(propagate(counts.join(linked, "g"), loose), quotas)
     held = _held(state)
@@ -138,7 +139,7 @@ def shards(docs: DataFrame, count: int = 16) -> DataFrame:
     in_shard = in_shard.withColumn("rank0", F.coalesce(F.sum("n").over(order), F.lit(0)))
     plan = in_shard.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("rank0", "shard", "slot0"))).alias("runs"))
     firsts = placed.filter("lg is not null").groupBy("lg").agg(F.min("pos").alias("first")).select(F.col("lg").alias("g"), "first")
-    plan = plan.join(firsts, "g").select(F.col("g").alias("pg"), "runs", "first")
+    plan = stored(plan.join(firsts, "g").select(F.col("g").alias("pg"), "runs", "first"), "plan")
 
     ends, at = [], 0
     for f in free:
