@@ -18,8 +18,6 @@ GRAM = 24
 LENGTH = 100
 #: Contexts sorted at once, but for a larger group, and the size above which a group is not sorted in one task.
 CHUNK, LARGE = 20_000, 200_000
-#: In ``loc``, the row's tag (which tells rows that share an id apart) stands above the position.
-TAG = 40
 #: Stands for a null id, and sorts before all others.
 NO_ID = -(1 << 63)
 
@@ -162,7 +160,7 @@ def repeated(group: np.ndarray, left: list[bytes], right: list[bytes], length: i
 
 # ------------------------------------------------------------------ anchors and contexts in tasks
 
-ANCHORS = "g long, c long, doc long, loc long, end long"
+ANCHORS = "g long, c long, doc long, tag long, loc long, end long"
 
 
 def _of_text(data: bytes, gram: int, length: int):
@@ -181,7 +179,7 @@ def _anchors(gram: int, length: int):
     def run(batches):
         for batch in batches:
             for part in pieces(batch, "text", 8 << 20):
-                cols = [[] for _ in range(5)]
+                cols = [[] for _ in range(6)]
                 for doc, tag, text in zip(part.column("doc").to_pylist(), part.column("tag").to_pylist(),
                                           part.column("text").to_pylist(), strict=True):
                     if len(text) < length:
@@ -195,15 +193,17 @@ def _anchors(gram: int, length: int):
                     new = ~again
                     ranges = np.ascontiguousarray(_merged(lo[again], hi[again]))
                     k = len(ranges)
-                    alone = np.full(k, doc).view(np.uint64) * np.uint64(3) + ranges[:, 0].astype(np.uint64)  # a range says all itself
+                    alone = np.full(k, doc).view(np.uint64) * np.uint64(3) + np.full(k, tag).view(np.uint64) * np.uint64(5)
+                    alone += ranges[:, 0].astype(np.uint64)  # a range says all itself
                     cols[0].append(np.concatenate([g[new], spread(alone)]))
                     cols[1].append(np.concatenate([c[new], np.zeros(k, np.uint64)]))
                     cols[2].append(np.full(int(new.sum()) + k, doc))
-                    cols[3].append((tag << TAG) + np.concatenate([at[new], ranges[:, 0]]))
-                    cols[4].append(np.concatenate([np.zeros(int(new.sum()), np.int64), ranges[:, 1]]))
+                    cols[3].append(np.full(int(new.sum()) + k, tag))
+                    cols[4].append(np.concatenate([at[new], ranges[:, 0]]))
+                    cols[5].append(np.concatenate([np.zeros(int(new.sum()), np.int64), ranges[:, 1]]))
                 if cols[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in cols],
-                                                     names=["g", "c", "doc", "loc", "end"])
+                                                     names=["g", "c", "doc", "tag", "loc", "end"])
     return run
 
 
@@ -229,7 +229,7 @@ def _merged(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return np.stack([lo[new], hi[ends]], axis=1).astype(np.int64)
 
 
-CONTEXTS = "g long, classes long, doc long, loc long, lead binary, follow binary"
+CONTEXTS = "g long, classes long, doc long, tag long, loc long, lead binary, follow binary"
 
 
 def _contexts(gram: int, length: int):
@@ -237,16 +237,15 @@ def _contexts(gram: int, length: int):
         width = length - gram + 1
         for batch in batches:
             for part in pieces(batch, "text", 8 << 20):
-                rows = [[] for _ in range(6)]
-                for doc, text, marks in zip(part.column("doc").to_pylist(), part.column("text").to_pylist(),
-                                            part.column("unsettled").to_pylist(), strict=True):
+                rows = [[] for _ in range(7)]
+                for doc, tag, text, marks in zip(*(part.column(c).to_pylist() for c in ("doc", "tag", "text", "unsettled")), strict=True):
                     for m in marks:
-                        p = m["loc"] & (1 << TAG) - 1
-                        for col, v in zip(rows, (m["g"], m["classes"], doc, m["loc"], text[max(0, p - width + 1):p], text[p:p + length]), strict=True):
+                        p = m["loc"]
+                        for col, v in zip(rows, (m["g"], m["classes"], doc, tag, p, text[max(0, p - width + 1):p], text[p:p + length]), strict=True):
                             col.append(v)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(rows, [pa.int64()] * 4 + [pa.binary()] * 2, strict=True)],
-                    names=["g", "classes", "doc", "loc", "lead", "follow"])
+                    [pa.array(c, t) for c, t in zip(rows, [pa.int64()] * 5 + [pa.binary()] * 2, strict=True)],
+                    names=["g", "classes", "doc", "tag", "loc", "lead", "follow"])
     return run
 
 
@@ -254,19 +253,18 @@ SPANS = "doc long, tag long, start long, end long"
 
 
 def _sorted_groups(length: int):
-    """Sorts the contexts of a partition that comes in the order of g, doc and loc, some groups at a time."""
+    """Sorts the contexts of a partition that comes in the order of g, doc, tag and loc, some groups at a time."""
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        rows = [r for i, r in enumerate(rows) if not i or r[:3] != rows[i - 1][:3]]  # equal rows are one document
-        found = repeated(np.array([r[0] for r in rows]), [r[3] for r in rows], [r[4] for r in rows], length)
-        out = [(rows[i][1], rows[i][2] >> TAG, (rows[i][2] & (1 << TAG) - 1) - most,
-                (rows[i][2] & (1 << TAG) - 1) - least + length) for i, least, most in found]
+        rows = [r for i, r in enumerate(rows) if not i or r[:4] != rows[i - 1][:4]]  # equal rows are one document
+        found = repeated(np.array([r[0] for r in rows]), [r[4] for r in rows], [r[5] for r in rows], length)
+        out = [(rows[i][1], rows[i][2], rows[i][3] - most, rows[i][3] - least + length) for i, least, most in found]
         cols = zip(*out, strict=True) if out else ([], [], [], [])
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["doc", "tag", "start", "end"])
 
     def run(batches):
         held: list[tuple] = []
         for batch in batches:
-            held += zip(*(batch.column(c).to_pylist() for c in ("g", "doc", "loc", "lead", "follow")), strict=True)
+            held += zip(*(batch.column(c).to_pylist() for c in ("g", "doc", "tag", "loc", "lead", "follow")), strict=True)
             while len(held) > CHUNK and held[0][0] != held[-1][0]:
                 cut = len(held) - 1
                 while held[cut - 1][0] == held[-1][0]:  # the last group may go on in the next batch
@@ -283,12 +281,12 @@ def _windows(gram: int, length: int):
     def run(batches):
         for batch in batches:
             rows = [[] for _ in range(4)]
-            for doc, loc, lead, follow in zip(*(batch.column(c).to_pylist() for c in ("doc", "loc", "lead", "follow")), strict=True):
+            for doc, tag, loc, lead, follow in zip(*(batch.column(c).to_pylist() for c in ("doc", "tag", "loc", "lead", "follow")), strict=True):
                 text = lead + follow
                 for x in range(len(text) - length + 1):
                     if x <= len(lead):
                         h = hashlib.blake2b(text[x:x + length], digest_size=16).digest()
-                        for col, v in zip(rows, (h, doc, loc >> TAG, (loc & (1 << TAG) - 1) - len(lead) + x), strict=True):
+                        for col, v in zip(rows, (h, doc, tag, loc - len(lead) + x), strict=True):
                             col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.binary()), *[pa.array(r, pa.int64()) for r in rows[1:]]],
                                              names=["h", "doc", "tag", "start"])
@@ -297,7 +295,7 @@ def _windows(gram: int, length: int):
 
 def _spans_of(text: bytes, settled, ranges, more, gram: int, length: int) -> np.ndarray:
     """Maximal removed runs of a text: contexts of settled anchors, ranges that repeat its own, sorted groups' spans."""
-    at = np.array(settled or (), np.int64) & (1 << TAG) - 1
+    at = np.array(settled or (), np.int64)
     lo, hi = [np.maximum(0, at - (length - gram))], [np.minimum(len(text), at + length)]
     for found in (ranges, more):
         lo.append(np.array([x["start"] for x in found or ()], np.int64))
@@ -354,7 +352,7 @@ def _rows(docs: DataFrame, others: bool = False) -> DataFrame:
     text = text_or_empty()
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]) if others else F.lit(None).cast("int")
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), text.cast("binary").alias("text"),
-                       F.shiftrightunsigned(F.xxhash64(text), 49).alias("tag"), rest.alias("others"))
+                       F.xxhash64(text).alias("tag"), rest.alias("others"))
 
 
 def marks(docs: DataFrame, gram: int = GRAM, length: int = LENGTH) -> DataFrame:
@@ -367,17 +365,36 @@ def marks(docs: DataFrame, gram: int = GRAM, length: int = LENGTH) -> DataFrame:
     rows = _rows(docs)
     found = rows.select("doc", "tag", "text").mapInArrow(_anchors(gram, length), ANCHORS)
     dealt = found.repartition(max(partitions_of(rows), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "g") \
-                 .sortWithinPartitions("g", "c", "doc", "loc")
-    by_string, by_context = Window.partitionBy("g"), Window.partitionBy("g", "c").orderBy("doc", "loc")
+                 .sortWithinPartitions("g", "c", "doc", "tag", "loc")
+    by_string, by_context = Window.partitionBy("g"), Window.partitionBy("g", "c").orderBy("doc", "tag", "loc")
     nth = (dealt.withColumn("n", F.count(F.lit(1)).over(by_string)).filter("n > 1 or end > 0")
                 .withColumn("nth", F.rank().over(by_context)))  # equal rows of the table are one document
     nth = nth.withColumn("classes", F.sum(F.when(F.col("nth") == 1, 1).otherwise(0)).over(by_string))
     kind = F.when(F.col("end") > 0, 0).when(F.col("nth") > 1, 1).when(F.col("classes") > 1, 2)
     return stored(nth.withColumn("kind", kind).filter("kind is not null")
-                  .select("doc", F.shiftright("loc", TAG).alias("tag"), F.when(F.col("kind") == 2, F.col("g")).alias("g"),
+                  .select("doc", "tag", F.when(F.col("kind") == 2, F.col("g")).alias("g"),
                           "loc", "end", "kind", F.when(F.col("kind") == 2, F.col("classes")).alias("classes")), "marks")
 
 
+def _without_later_copies(judged: DataFrame, length: int, full: bool) -> DataFrame:
+    """``judged`` (stored, with a number ``row``), where of rows without an id and of equal text all but one lose all:
+    a text of ``length`` bytes or more that stands earlier as a whole.  Rows meet by their number, never by group."""
+    size = F.coalesce("n_bytes", F.octet_length("text").cast("long"))
+    rest, alone = judged.filter(F.col("doc") != NO_ID), judged.filter(F.col("doc") == NO_ID).withColumn("size", size)
+    long = alone.filter(F.col("size") >= length)
+    firsts = long.groupBy("tag", "size").agg(F.min("row").alias("row")).select("row")
+    new = {"doc": F.col("doc"), "tag": F.col("tag"), "others": F.col("others"), "n_bytes": F.col("size"), "n_removed": F.col("size"),
+           "n_spans": F.lit(1), "kept_sha256": F.lit(hashlib.sha256(b"").hexdigest())}
+    if full:
+        new |= {"kept": F.lit(b""), "kept_text": F.lit(""),
+                "removed": F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("size").alias("end")))}
+    gone = [new.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in judged.schema.fields]
+    parts = [alone.filter(F.col("size") < length), long.join(firsts, "row", "left_semi"), long.join(firsts, "row", "left_anti").select(*gone)]
+    for part in parts:
+        rest = rest.unionByName(part.select(judged.columns))
+    return rest.drop("row")
+
+
 def remove_repeats(docs: DataFrame, gram: int = GRAM, length: int = LENGTH, full: bool = False,
                    large: int = LARGE) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row (and, if ``full``, the kept bytes, the text
@@ -398,25 +415,27 @@ def remove_repeats(docs: DataFrame, gram: int = GRAM, length: int = LENGTH, full
     aggregate, combined before its shuffle.
 
     Null text: empty.  Texts shorter than ``length``: nothing goes.  Null ids
-    come first.  Rows that share an id are told apart by their text; rows that
-    are equal are one document, and get the same result each.  Empty table: no
-    rows.
+    come first.  Rows that share an id are told apart, and ordered, by the 64
+    bits of their text's XXH64; rows that are equal, id included, are one
+    document, and get the same result each.  Rows without an id are a document
+    each: of those with equal text one stays (any, as they are equal), and the
+    others repeat it.  Empty table: no rows.
     """
     rows = _rows(docs, others=full)
     said = marks(docs, gram, length)
-    place = F.col("loc").bitwiseAND(F.lit((1 << TAG) - 1))
     by_doc = said.groupBy("doc", "tag").agg(
         F.collect_list(F.when(F.col("kind") == 1, F.col("loc"))).alias("settled"),
-        F.collect_list(F.when(F.col("kind") == 0, F.struct(place.alias("start"), "end"))).alias("ranges"),
+        F.collect_list(F.when(F.col("kind") == 0, F.struct(F.col("loc").alias("start"), "end"))).alias("ranges"),
         F.collect_list(F.when(F.col("kind") == 2, F.struct("g", "loc", "classes"))).alias("unsettled"))
     first = rows.join(by_doc, ["doc", "tag"], "left").select("doc", "tag", "text", "others", "settled", "ranges", "unsettled")
     schema = T.StructType([*T.StructType.fromDDL(RESULT).fields, T.StructField("others", rows.schema["others"].dataType)])
     both = T.StructType([*schema.fields, *T.StructType.fromDDL(WAITING).fields])
-    judged = stored(first.mapInArrow(_judged(gram, length, full, last=False), both), "judged")
+    judged = first.mapInArrow(_judged(gram, length, full, last=False), both)
+    judged = _without_later_copies(stored(judged.withColumn("row", F.monotonically_increasing_id()), "judged"), length, full)
     waiting = judged.filter("text is not null").select("doc", "tag", "text", "others", "settled", "ranges", "unsettled")
 
-    contexts = waiting.select("doc", "text", "unsettled").mapInArrow(_contexts(gram, length), CONTEXTS)
-    small = contexts.filter(F.col("classes") <= large).repartition(partitions_of(rows), "g").sortWithinPartitions("g", "doc", "loc")
+    contexts = waiting.select("doc", "tag", "text", "unsettled").mapInArrow(_contexts(gram, length), CONTEXTS)
+    small = contexts.filter(F.col("classes") <= large).repartition(partitions_of(rows), "g").sortWithinPartitions("g", "doc", "tag", "loc")
     spans = small.mapInArrow(_sorted_groups(length), SPANS)
     if said.filter((F.col("kind") == 2) & (F.col("classes") > large)).limit(1).count():
         windows = stored(contexts.filter(F.col("classes") > large).mapInArrow(

@@ -3,6 +3,7 @@ import hashlib
 import random
 
 import numpy as np
+import xxhash
 
 from reelkit.llm import suffixes
 from reelkit.llm.anchors import Prefixes
@@ -99,3 +100,42 @@ def test_collisions_fall_back_on_bytes(monkeypatch):
     start, size = np.array([0, 4, 2]), np.array([4, 4, 2])
     order, lcp = suffixes.sort_suffixes(px, start, size, np.zeros(3, int))
     assert order.tolist() == [0, 1, 2] and lcp.tolist() == [-1, 3, 1]
+
+
+def brute_without_ids(texts, length=100):
+    """As ``brute``, for rows without an id: in the order of their texts' hashes, a document each."""
+    seen, out = set(), []
+    for t in sorted(texts, key=lambda t: np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).astype(np.int64)):
+        data = t.encode()
+        gone = np.zeros(len(data), bool)
+        for x in range(len(data) - length + 1):
+            w = data[x:x + length]
+            if w in seen:
+                gone[x:x + length] = True
+            seen.add(w)
+        spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if len(data) else 0
+        out.append((None, len(data), int(gone.sum()), spans, hashlib.sha256(bytes(b for b, g in zip(data, gone) if not g)).hexdigest()))
+    return sorted(out, key=str)
+
+
+def test_thousands_of_rows_without_id(spark):
+    rng = random.Random(11)
+    prose = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    shared = [prose(150) for _ in range(400)]
+    texts = [prose(rng.randint(0, 60)) + rng.choice(shared)[rng.randint(0, 30):] + prose(rng.randint(0, 60)) for _ in range(3000)]
+    texts += texts[:40] * 2 + ["short"] * 3 + [""] * 2
+    got = run(spark, [(None, t) for t in texts])
+    want = brute_without_ids(texts)
+    assert got == want
+    assert sum(r[1] == r[2] for r in want if r[1]) >= 80  # later copies lose all
+    few = texts[:150] + texts[:20]
+    assert run(spark, [(None, t) for t in few], large=1) == brute_without_ids(few)
+    once = sorted(set(texts))[:600]
+    assert run(spark, [(7, t) for t in once]) == sorted([(7, *r[1:]) for r in brute_without_ids(once)], key=str)
+
+
+def test_full_rows_without_id(spark):
+    text = "".join(random.Random(4).choices("abcdefgh ", k=300))
+    df = spark.createDataFrame([(None, text, str(i), "", 0) for i in range(3)] + [(1, text + "end", "3", "", 0)], SCHEMA)
+    got = sorted(((r.kept_text, [tuple(x) for x in r.removed], r.others.tag == "3") for r in suffixes.remove_repeats(df, full=True).collect()), key=str)
+    assert got == sorted([(text, [], False), ("", [(0, 300)], False), ("", [(0, 300)], False), ("end", [(0, 300)], True)], key=str)
