@@ -169,15 +169,20 @@ class WordCounts:
 
     Each run between spaces, tabs and line ends is counted by itself: the
     normalizer turns white space into one space, the pre-tokenizer removes it,
-    and no token or special string holds any.
+    and no token or special string holds any.  ASCII runs share an entry in
+    lower case, but for those that hold a special string as they are or lowered:
+    the library looks for these before it lowers a text.
     """
 
     def __init__(self, path: str):
         self.tokenizer = library_tokenizer(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known = PartCache(self._encode, self._split, lambda p: p.isalpha() and (p.islower() or not p.isascii()))
 
     def _split(self, part: str) -> list[tuple[PartCache, str]]:
         lower = part.lower() if part.isascii() else part
+        if any(s in part or s in lower for s in self.special):
+            return [(self.known, part)]
         if _plain_stem(lower):
             return [(self.known, lower[:-1]), (self.known, lower[-1])]
         return [(self.known, part)] if lower == part else [(self.known, lower), (self.known, "")]

@@ -75,6 +75,16 @@ def test_token_counts_and_their_cache(spark, tmp_path):
     assert token_counts.token_counts(spark.createDataFrame([], SCHEMA), path, f"{tmp_path}/none").count() == 0
 
 
+def test_special_strings_in_any_case(spark, tmp_path):
+    texts = ["<|ENDOFTEXT|>", "a <|EndOfText|> b", "<|StartOfText|>x", "<|endoftext|>", "A<|endoftext|>B.", "Q<|ENDOFTEXT|><|endoftext|>,",
+             "<|EndOfText|>.", "é<|ENDOFTEXT|>", "WORD, <|STARTOFTEXT|> Word."]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        path = vocab.vocabulary_path(name)
+        df = spark.createDataFrame([(i, t, "x", 0, "y") for i, t in enumerate(texts)], SCHEMA)
+        want = {i: len(vocab.library_tokenizer(path).encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+        assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(df, path, f"{tmp_path}/{name}").collect()} == want
+
+
 def test_pieces(spark):
     rows, df = rows_of(spark)
     path = vocab.vocabulary_path("piece_bpe_32k.model")
