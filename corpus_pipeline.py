@@ -40,15 +40,16 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component by operator 2 (three-word shingles, 3 bits) the row of the smallest id.  Of rows that share
-    that id one stays, of least text hash.  Rows without an id stay: none can be named for their group."""
-    kept, flag, nth = _free(docs, "kept_id"), _free(docs, "kept"), _free(docs, "nth")
-    found = simhash.near_duplicates(docs)
-    ids = (found.filter(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias(kept)).agg(F.lit(1).alias(flag)))
-    rows = docs.join(ids, docs["doc_id"].cast("long") == ids[kept], "left")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    rows = rows.withColumn(nth, F.when(F.col("doc_id").isNotNull(), F.row_number().over(first)))
-    return rows.filter(F.col("doc_id").isNull() | (_column(flag).isNotNull() & (_column(nth) == 1))).drop(kept, flag, nth)
+    """Of each component by operator 2 (three-word shingles, 3 bits) one row: that of the smallest id, and of rows that
+    share that id the one of least text hash.  Components are of rows, so texts that share an id stay or go each by its
+    own.  Rows without an id are judged among themselves, and of each component one stays."""
+    alone, number, digest, nth = (_free(docs, c) for c in ("alone", "number", "digest", "nth"))
+    given = F.col("doc_id").cast("long")
+    keyed = docs.withColumns({alone: given.isNull(), number: F.coalesce(given, F.lit(0)), digest: F.xxhash64("text")})
+    key = [_column(c) for c in (alone, number, digest)]
+    once = keyed.withColumn(nth, F.row_number().over(Window.partitionBy(*key).orderBy(key[-1]))).filter(_column(nth) == 1)
+    first = simhash.one_of_each(docs).toDF(alone, number, digest)
+    return once.join(first, [alone, number, digest], "left_semi").select(*[_column(c) for c in docs.columns])
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

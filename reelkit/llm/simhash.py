@@ -42,7 +42,8 @@ def _fingerprints(shingle: int, seed: int):
         for batch in batches:
             for part in pieces(batch, "text", 4 << 20):
                 fps = np.array([fingerprint(t, shingle, seed) for t in texts(part)], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fps)], names=["doc_id", "fp"])
+                names = [c for c in part.schema.names if c != "text"]
+                yield pa.RecordBatch.from_arrays([*map(part.column, names), pa.array(fps)], names=[*names, "fp"])
     return run
 
 
@@ -108,6 +109,27 @@ def links(fps: DataFrame) -> DataFrame:
     return met.filter(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= 3)  # verified on the fingerprints themselves
 
 
+def _roots(fps: DataFrame) -> DataFrame:
+    """node, root of the (distinct) fingerprints that are linked to others."""
+    return components(links(stored(candidates(fps), "candidates")))
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
+    """alone, id, text_hash of the first row of each component among the rows with an id (``alone`` false), and of the
+    first among those without (true; id 0): the smallest id, and of that the least XXH64 of the text.
+
+    Components are told by their least fingerprint, so an id with two texts may
+    be in two.  Equal fingerprints are combined before the shuffle, as above.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), text_or_empty().alias("text"))
+    own = rows.mapInArrow(_fingerprints(shingle, seed), "doc_id long, text_hash long, fp long")
+    first = F.min(F.struct(F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash")).alias("first")
+    least = stored(own.groupBy("fp", F.col("doc_id").isNull().alias("alone")).agg(first), "distinct")
+    roots = _roots(least.select("fp").distinct())
+    placed = least.join(roots, least.fp == roots.node, "left").select("alone", "first", F.coalesce("root", "fp").alias("root"))
+    return placed.groupBy("root", "alone").agg(F.min("first").alias("first")).select("alone", "first.id", "first.text_hash")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
     """doc_id, fingerprint, component_id of every row of ``docs`` (doc_id, text).
 
@@ -123,8 +145,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFr
     """
     own = stored(fingerprints(docs, shingle, seed), "fingerprints")
     distinct = stored(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    maybe = stored(candidates(distinct.select("fp")), "candidates")
-    roots = components(links(maybe))
+    roots = _roots(distinct.select("fp"))
     placed = distinct.join(roots, distinct.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))

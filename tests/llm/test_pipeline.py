@@ -2,6 +2,8 @@
 import random
 from collections import Counter
 
+import xxhash
+
 import corpus_pipeline as cp
 from reelkit.llm import mixing, quality, vocab
 from tests.llm.test_simhash import brute as components
@@ -74,6 +76,21 @@ def test_near_dedup_keeps_one_and_rows_without_id(spark):
     assert sorted(str(r.doc_id) for r in cp.simhash_near_dedup(spark, docs, SF).collect()) == ["2", "9", "None"]
 
 
+def test_near_dedup_keeps_one_row_of_each_group(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices("abcdefghijklmnopq", k=12)) for _ in range(25)]
+    rows = [(rng.choice([None, *range(12)]), rng.choice([t, t.upper(), t.title()])) for t in texts * 6] + [(None, texts[0])] * 5
+    docs = spark.createDataFrame([(i, t, "", "", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    digest = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + (1 << 63)) % (1 << 64) - (1 << 63)
+    comp = components(list({plain(t): plain(t) for _, t in rows}.items()))
+    want = {}
+    for i, t in rows:
+        group = (comp[plain(t)], i is None)
+        want[group] = min(want.get(group, (i or 0, digest(t), t)), (i or 0, digest(t), t))
+    got = Counter((r.doc_id, r.text) for r in cp.simhash_near_dedup(spark, docs, SF).collect())
+    assert got == Counter((None if alone else i, t) for (_, alone), (i, _, t) in want.items())
+
+
 def test_without_labels_all_stay(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
