@@ -33,6 +33,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def emptied(spark: SparkSession, path: str) -> None:
+    """Overwrite a table of the shared folder that nothing reads any more with one of no rows: its files go, by the
+    same writer that made them, on any storage."""
+    spark.createDataFrame([], "gone boolean").write.mode("overwrite").parquet(path)
+
+
 def partitions_of(df: DataFrame) -> int:
     """Input partitions of a plan, which Spark sizes by bytes; used to size exchanges in proportion to the input."""
     return max(1, df.rdd.getNumPartitions())

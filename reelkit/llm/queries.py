@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelkit.llm import ann, mixing, pieces_bpe, quality, sharding, simhash, sketches, suffixes, token_counts, vocab, wavelet
+from reelkit.llm import ann, codes, mixing, pieces_bpe, quality, sharding, simhash, sketches, suffixes, token_counts, vocab, wavelet
 from reelkit.llm.common import shared_path, table
 
 QUERIES, ORACLES = {}, {}
@@ -67,3 +67,8 @@ def op1(spark, sf_dir):
 @_register("op10_sketch_fingerprints")
 def op10(spark, sf_dir):
     return sketches.sketches(table(spark, sf_dir, "documents"))
+
+
+@_register("op13_active_entry_codes", codes.oracle())
+def op13(spark, sf_dir):
+    return codes.codes(table(spark, sf_dir, "embeddings"))
