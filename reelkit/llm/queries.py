@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelkit.llm import ann, codes, mixing, pieces_bpe, quality, sharding, simhash, sketches, suffixes, token_counts, vocab, wavelet
+from reelkit.llm import ann, codes, mixing, pieces_bpe, quality, resampling, sharding, simhash, sketches, suffixes, token_counts, vocab, wavelet
 from reelkit.llm.common import shared_path, table
 
 QUERIES, ORACLES = {}, {}
@@ -72,3 +72,8 @@ def op10(spark, sf_dir):
 @_register("op13_active_entry_codes", codes.oracle())
 def op13(spark, sf_dir):
     return codes.codes(table(spark, sf_dir, "embeddings"))
+
+
+@_register("op11_importance_resampling", resampling.ORACLE)
+def op11(spark, sf_dir):
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
