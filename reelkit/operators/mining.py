@@ -11,16 +11,15 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, OneVsRest
 from pyspark.ml.clustering import KMeans, PowerIterationClustering
-from pyspark.ml.feature import BucketedRandomProjectionLSH, StringIndexer
+from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from reelkit.functions.scores import cosine, euclidean, pearson
+from reelkit.operators import boosting
 from reelkit.operators.relational import global_position, top_n_per_group
 
 
@@ -249,31 +248,29 @@ def contingency(a: DataFrame, b: DataFrame, a_col: str = "kmeans", b_col: str =
 # boosting (M9, M10, E8)
 # --------------------------------------------------------------------------
 
-def boosted_classifier(vectors: DataFrame, test_size: float = 0.25, seed: int = 0, max_iter: int = 20):
-    """M9: one-vs-rest gradient-boosted trees (MLlib GBT is binary); 75/25 split.
-
-    Returns (predictions(id, label, prediction), fitted pipeline).
-    """
+def boosted_classifier(vectors: DataFrame, test_size: float = 0.25, seed: int = 0, max_iter: int = 20,
+                       depth: int = 3, rate: float = 0.3) -> tuple[DataFrame, boosting.Booster]:
+    """M9: multinomial boosted trees on a 75/25 split; (predictions(id, label, prediction), the fitted model)."""
     from reelkit.operators.cf import random_split
     split = random_split(vectors, "id", test_size, seed)
-    idx = StringIndexer(inputCol="label", outputCol="_y", stringOrderType="alphabetAsc")
-    ovr = OneVsRest(classifier=GBTClassifier(maxIter=max_iter, seed=seed), parallelism=4, featuresCol="_v", labelCol="_y",
-                    predictionCol="_p")
-    model = Pipeline(stages=[idx, ovr]).fit(_vec(split.filter(~F.col("is_test"))))
-    pred = model.transform(_vec(split.filter(F.col("is_test"))))
-    labels = model.stages[0].labels
-    lab = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("_p").cast("int") + 1)
-    return pred.select("id", F.col("label").cast("string").alias("label"), lab.alias("prediction")), model
-
-
-def feature_importance(model, names: list[str] | None = None) -> pd.DataFrame:
-    """Mean of the per-class tree-ensemble importances, sorted (d rows)."""
-    ovr = model.stages[-1]
-    imps = np.mean([m.featureImportances.toArray() for m in ovr.models], axis=0)
-    names = names or [f"f{i}" for i in range(len(imps))]
-    return pd.DataFrame({"feature": names, "importance": imps}).sort_values(
+    model = boosting.fit(split.filter(~F.col("is_test")), max_iter, depth, rate)
+    return boosted_predictions(split.filter(F.col("is_test")), model), model
+
+
+def boosted_predictions(vectors: DataFrame, model: boosting.Booster) -> DataFrame:
+    """(id, label, prediction) of every row, in the scan's own stage.  Raw scores are columns of their own, so that the
+    trees are walked once."""
+    raw = model.raw(F.col("features"))
+    scored = vectors.select("id", F.col("label").cast("string").alias("label"), F.array(*raw).alias("raw"))
+    return scored.select("id", "label", model.prediction([F.col("raw")[k] for k in range(len(raw))]).alias("prediction"))
+
+
+def feature_importance(model: boosting.Booster, n_features: int, names: list[str] | None = None) -> pd.DataFrame:
+    """Each feature's share of all splits' gain, sorted (d rows)."""
+    names = names or [f"f{i}" for i in range(n_features)]
+    return pd.DataFrame({"feature": names, "importance": model.importance(n_features)}).sort_values(
         ["importance", "feature"], ascending=[False, True])
 
 
 __all__ = ["centroid_similarity", "standardize", "pca", "linear_discriminant", "kmeans", "elbow",
-           "spectral", "contingency", "boosted_classifier", "feature_importance", "vector_to_array"]
+           "spectral", "contingency", "boosted_classifier", "boosted_predictions", "feature_importance", "vector_to_array"]

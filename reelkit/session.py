@@ -62,6 +62,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def stored_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` written as a Parquet table under ``spark.checkpoint.dir`` and read back, and its path for ``emptied``."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/reelkit-cut/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path), path
+
+
+def emptied(spark: SparkSession, path: str) -> None:
+    """Overwrite a table that nothing reads any more with one of no rows: its files go, by the writer that made them,
+    on any storage."""
+    spark.createDataFrame([], "gone boolean").write.mode("overwrite").parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a Parquet table under ``spark.checkpoint.dir`` and read it back.
 
@@ -71,7 +85,4 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     folder), and the re-read keeps column pruning and statistics.  Never
     ``localCheckpoint``.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/reelkit-cut/{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return stored_at(df)[0]
