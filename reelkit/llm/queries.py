@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelkit.llm import ann, codes, mixing, pieces_bpe, quality, resampling, sharding, simhash, sketches, suffixes, token_counts, vocab, wavelet
+from reelkit.llm import ann, codes, mixing, pieces_bpe, pii, quality, resampling, sharding, simhash, sketches, suffixes, token_counts, vocab, wavelet
 from reelkit.llm.common import shared_path, table
 
 QUERIES, ORACLES = {}, {}
@@ -77,3 +77,8 @@ def op13(spark, sf_dir):
 @_register("op11_importance_resampling", resampling.ORACLE)
 def op11(spark, sf_dir):
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_register("op12_candidate_pii")
+def op12(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))
