@@ -136,7 +136,7 @@ def features(kind: int, span: Column) -> Column:
         F.size(groups).cast("double"), real(F.array_max(groups)), real(F.array_min(groups)), real(F.array_max(octets)),
         F.when(F.char_length(number).between(12, 19), luhn(number).cast("double")).otherwise(-1.0),
         F.startswith(t, F.lit("+")).cast("double"), count(t, "[()]"), count(t, " "), count(t, "-"), count(t, r"\."), count(t, "@"),
-        F.char_length(F.regexp_extract(t, "([A-Za-z]*)$", 1)).cast("double"),
+        F.char_length(F.regexp_extract(F.right(t, F.lit(CONTEXT)), "([A-Za-z]*)$", 1)).cast("double"),
         _side(F.right(left, F.lit(1))), _side(right), count(left, "[0-9]"), count(right, "[0-9]"),
         *[F.concat_ws(" ", left, right).rlike(c).cast("double") for c in CUES])
 
