@@ -167,8 +167,9 @@ def _search(k: int, beam: int):
                 for qid, v, ids in zip(part["query_id"].to_numpy(), q, found, strict=True):
                     ids = ids[ids >= 0]
                     score = np.array([np.dot(v, y) for y in x[ids]])  # on the original vectors, in double precision
-                    answers = [(-score[i], m) for i in np.argsort(-score, kind="stable")[:k + 1]
-                               for m in row.members[ids[i]] if m != qid]
+                    # of equal scores all are looked at, as the smaller ids may stand in any of their classes
+                    least = np.sort(score)[-(k + 1)] if len(score) > k else -np.inf
+                    answers = [(-score[i], m) for i in np.flatnonzero(score >= least) for m in row.members[ids[i]] if m != qid]
                     for minus, m in sorted(answers)[:k]:
                         out["query_id"].append(qid)
                         out["vec_id"].append(m)
@@ -179,12 +180,13 @@ def _search(k: int, beam: int):
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """id, vec of the rows that take part: an id, and a vector that is not null, empty or zero and all finite."""
+    """id, vec of the rows that take part: an id, and a vector that is not null, empty or zero and all finite.  Of
+    several for an id the least by value."""
     v = F.col("vec")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
     return rows.filter(F.col("id").isNotNull() & v.isNotNull()
                        & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-                       & F.exists(v, lambda x: x != 0)).dropDuplicates(["id"])
+                       & F.exists(v, lambda x: x != 0)).groupBy("id").agg(F.min("vec").alias("vec"))
 
 
 def build_index(vectors: DataFrame, k: int, shard_rows: int) -> DataFrame:
@@ -217,7 +219,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
 
     Nearest first, ties to the smaller id.  Null, zero or non-finite vectors
     and null ids take no part; vectors of another length than the query's are
-    no candidates.  Rows that repeat an id count once.  Fewer candidates than k:
+    no candidates.  Of rows that repeat an id the one of least vector counts.  Fewer candidates than k:
     all that are found.  Empty tables: no rows.
     """
     rows = stored(usable(vectors, id_col, vec_col), "vectors")

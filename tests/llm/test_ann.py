@@ -54,3 +54,18 @@ def test_few_and_none(spark):
     assert run(spark, [(20, [1.0, 0.0]), (3, [0.5, 0.5])]) == {20: [(3, 0.5)]}
     assert run(spark, [(20, [1.0, 0.0])]) == {}
     assert run(spark, []) == {}
+
+
+def test_equal_scores_go_to_the_smallest_ids(spark):
+    # 60 distinct vectors of one inner product with the query; the beam finds all of them
+    rows = [(20, [1.0, 0.0, 0.0])] + [(100 + i, [0.5, 0.01 * i, -0.02 * i]) for i in range(60)]
+    assert [i for i, _ in run(spark, rows)[20]] == list(range(100, 120))
+
+
+def test_repeated_ids_whatever_the_partitions(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (3, [0.5, 0.5]), (3, [2.0, 0.25]), (4, [1.0, 1.0]), (4, [0.25, 3.0])]
+    df = spark.createDataFrame([(i, v, "x", "y", "z") for i, v in rows], SCHEMA)
+    for parts in (1, 2, 5):
+        some = df.repartition(parts)
+        got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in ann.nearest(some, some.filter("vec_id % 20 = 0")).collect())
+        assert got == [(20, 1, 4, 3.0), (20, 2, 3, 0.5)], parts
