@@ -6,6 +6,7 @@ A cache lives as long as its Python worker and is emptied when it is full, so th
 from __future__ import annotations
 
 import hashlib
+import unicodedata
 from array import array
 from collections.abc import Callable
 from functools import lru_cache
@@ -42,8 +43,14 @@ def file_digest(path: str) -> str:
 
 
 def _plain_stem(part: str) -> bool:
-    """Whether the part is a word of Latin letters' end plus one punctuation mark, which every splitter here parts."""
-    return len(part) > 2 and part[-1] in ".,;:!?" and part[-2].isalpha() and part[-2] < "ɐ"
+    """Whether the part is a word of Latin letters' end plus one punctuation mark, which every splitter here parts.
+
+    The last letter must stay one character when lowered: what a longer form ends with may go with the mark.
+    """
+    if len(part) < 3 or part[-1] not in ".,;:!?":
+        return False
+    last = part[-2]
+    return last.isalpha() and (last.isascii() or last < "ɐ" and len(unicodedata.normalize("NFC", last.lower())) == 1)
 
 
 class PartCache(dict):

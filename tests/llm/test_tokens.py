@@ -111,3 +111,10 @@ def test_full_caches_change_nothing(monkeypatch):
         assert [ids for _, ids in enc.encode(cut)] == enc.library.encode(cut)
         parts.first.trim(0), parts.later.trim(0)
         assert [x.tolist() for x in parts.ids(cut)] == [e.ids for e in parts.tokenizer.encode_batch_fast(cut, add_special_tokens=False)]
+
+
+def test_words_that_end_in_any_latin_letter():
+    path = vocab.vocabulary_path("word_bpe_49k.json")
+    whole = vocab.WholeCounts(path).counts
+    texts = [f"ab{chr(c)}{m}" for c in range(0x80, 0x250) for m in ".,;:!?"]
+    assert vocab.WordCounts(path).counts(texts) == whole(texts)
