@@ -15,6 +15,8 @@ import numpy as np
 
 #: Entries of a worker's cache, at about 200 bytes each.
 CACHE_PARTS = 1_000_000
+#: New parts that go to a byte-level tokenizer as the lines of one text.
+JOINED_PARTS = 500
 
 
 def vocabulary_path(name: str) -> str:
@@ -133,12 +135,29 @@ class ByteLevelParts:
     def __init__(self, path: str):
         self.tokenizer = library_tokenizer(path)
         self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.feed = feed[0] if len(feed) == 1 else None
         self.first = PartCache(self._encode, lambda p: self._split(p, self.first))
         self.later = PartCache(lambda ps: self._encode([" " + p for p in ps]), lambda p: self._split(p, self.later))
 
     def _encode(self, parts: list[str]) -> list[bytes]:
-        kind = self.kind
-        return [array(kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        kind, out = self.kind, []
+        for at in range(0, len(parts), JOINED_PARTS):
+            some = parts[at:at + JOINED_PARTS]
+            out += self._joined(some) or [
+                array(kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        return out
+
+    def _joined(self, parts: list[str]) -> list[bytes] | None:
+        """Parts encoded as the lines of one text, which the library does in less time; None where a line feed's id
+        doesn't stand between all of them and nowhere else, as with parts that hold one or that white space ends."""
+        if self.feed is None or len(parts) < 2 or any(p[-1:].isspace() or "\n" in p for p in parts):
+            return None
+        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(parts)], add_special_tokens=False)[0].ids, dtype=self.kind)
+        cuts = np.flatnonzero(ids == self.feed)
+        if len(cuts) != len(parts) - 1:
+            return None
+        return [ids[a:b].tobytes() for a, b in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True)]
 
     def _split(self, part: str, of: PartCache) -> list[tuple[PartCache, str]] | None:
         """Stems of a part that follows a space (``later``) or none (``first``)."""

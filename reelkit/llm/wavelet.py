@@ -140,8 +140,8 @@ class WaveletMatrix:
 
 # ------------------------------------------------------------------ the Spark jobs
 
-FILES = "shard int, doc_ids array<long>, lengths array<long>, n_tokens long, matrix binary"
-_FILES = pa.schema([("shard", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
+FILES = "shard long, doc_ids array<long>, lengths array<long>, n_tokens long, matrix binary"
+_FILES = pa.schema([("shard", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
                     ("n_tokens", pa.int64()), ("matrix", pa.binary())])
 #: Tokens of a file; a partition with more writes several, each of whole documents.
 FILE_TOKENS = 4_000_000
@@ -197,7 +197,7 @@ def _read(batches):
             at = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
             crc = [zlib.crc32(tokens[a:b].tobytes()) for a, b in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_pydict({
-                "shard": pa.array([shard] * len(ids), pa.int32()), "doc_id": pa.array(ids, pa.int64()),
+                "shard": pa.array([shard] * len(ids), pa.int64()), "doc_id": pa.array(ids, pa.int64()),
                 "first": pa.array(at[:-1]), "n_tokens": pa.array(lengths, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
 
 
@@ -212,7 +212,7 @@ def read_token_files(spark, path: str) -> DataFrame:
     offsets = files.select("shard", "n_tokens").select(
         "shard", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("long").alias("offset"))
     docs = files.select("shard", "doc_ids", "lengths", "matrix").mapInArrow(
-        _read, "shard int, doc_id long, first long, n_tokens long, ids_crc32 long")
+        _read, "shard long, doc_id long, first long, n_tokens long, ids_crc32 long")
     return docs.join(offsets, "shard").select("doc_id", (F.col("offset") + F.col("first")).alias("start"),
                                               "n_tokens", "ids_crc32")
 

@@ -118,3 +118,22 @@ def test_words_that_end_in_any_latin_letter():
     whole = vocab.WholeCounts(path).counts
     texts = [f"ab{chr(c)}{m}" for c in range(0x80, 0x250) for m in ".,;:!?"]
     assert vocab.WordCounts(path).counts(texts) == whole(texts)
+
+
+def test_parts_joined_by_line_feeds():
+    t = vocab.ByteLevelParts(vocab.vocabulary_path("byte_bpe_50k.json"))
+    parts = [f"w{i}x" for i in range(700)] + ["é́", "日本", "'ll", "<|endoftext|>", "a\tb", "12,3", " lead", "\u200b", "\x85q", "a\u00a0b", "😀"]
+    one = [vocab.array(t.kind, e.ids).tobytes() for e in t.tokenizer.encode_batch(parts, add_special_tokens=False)]
+    assert t._encode(parts) == one and t._encode([" " + p for p in parts]) == [
+        vocab.array(t.kind, e.ids).tobytes() for e in t.tokenizer.encode_batch([" " + p for p in parts], add_special_tokens=False)]
+    odd = ["a\n", "b", "c ", "\n", "", "d\ne"]
+    assert t._encode(odd) == [vocab.array(t.kind, e.ids).tobytes() for e in t.tokenizer.encode_batch(odd, add_special_tokens=False)]
+
+
+def test_shard_numbers_of_many_partitions():
+    import pyarrow as pa
+    shard = 800_000 * 100_000 + 7
+    batch = pa.RecordBatch.from_pydict({"shard": [shard], "doc_ids": [[5]], "lengths": [[2]], "n_tokens": [2],
+                                        "matrix": [wavelet.encode(np.array([9, 2], np.uint16))]}, schema=wavelet._FILES)
+    (out,) = wavelet._read([batch])
+    assert out.column("shard").to_pylist() == [shard] and out.column("n_tokens").to_pylist() == [2]
