@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reelkit.session import cut_lineage
+from reelkit.session import cut_lineage, emptied, stored_at
 
 
 def _cols(cols) -> list:
@@ -44,32 +44,69 @@ def quantile(col, p: float, exact: bool = True, accuracy: int = 100_000) -> Colu
     return F.percentile(c, p) if exact else F.percentile_approx(c, p, accuracy).cast("double")
 
 
-def exact_quantile(df: DataFrame, col, p: float, accuracy: int = 10_000) -> Column:
-    """The exact quantile with linear interpolation, as a literal; NULL without values.
+#: Rows among which one task may order values to find a rank.
+ORDERED = 100_000
+
 
-    ``F.percentile`` gathers every distinct value in its final task.  Here a
-    mergeable sketch brackets the quantile, and the counts of the values in the
-    bracket (about n / accuracy rows, copies of a value combined before the
-    shuffle; all smaller ones as one) give the two values at the rank.  Three
-    aggregates over one column; the driver sees a row of each.
+def values_at_ranks(v: DataFrame, n: int, ranks: set[int], accuracy: int = 10_000, ordered: int = ORDERED) -> dict[int, float]:
+    """rank -> value, for neighbouring 0-based ranks in the order of the column ``_v`` of ``v`` (``n`` rows, no nulls).
+
+    A mergeable sketch brackets the ranks by two values; copies of these are
+    counted, so that either they hold a rank or it lies among the values
+    strictly between, some thousandth of the rows.  These are bracketed again,
+    until ``ordered`` of them at most are left for one task to order.  Every
+    step is an aggregate without a shuffle of rows; the driver sees one row.
+    """
+    found, below, lo, hi, slack = {}, 0, float("-inf"), float("inf"), 2.0 / accuracy
+    x = F.col("_v")
+    # Spark's order: NaN above all, infinities are values as any
+    inside, m = v, n
+    while left := sorted(ranks - found.keys()):
+        if m <= ordered:
+            upto = F.sum("_k").over(Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+            got = (inside.groupBy("_v").agg(F.count(F.lit(1)).alias("_k")).withColumn("_upto", upto)
+                   .agg(*[F.min(F.when(F.col("_upto") > r - below, x)) for r in left]).first())
+            return found | dict(zip(left, got, strict=True))
+        share = [max(0.0, (left[0] - below) / m - slack), min(1.0, (left[-1] + 1 - below) / m + slack)]
+        lo, hi = inside.agg(F.percentile_approx("_v", share, accuracy).alias("q")).first()["q"]
+        count = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+        less, low, between, high = inside.agg(count(x < lo), count(x == lo), count((x > lo) & (x < hi)), count(x == hi)).first()
+        if lo == hi:
+            high = 0
+        first, second, third = below + less, below + less + low, below + less + low + between
+        if left[0] < first or left[-1] >= third + high:
+            slack *= 4
+            continue
+        found |= {r: lo for r in left if r < second} | {r: hi for r in left if r >= third}
+        inside, m, below = inside.filter((x > lo) & (x < hi)), between, second
+    return found
+
+
+def exact_quantiles(df: DataFrame, col, ps: Sequence[float], accuracy: int = 10_000, ordered: int = ORDERED) -> list[float | None]:
+    """Exact quantiles of one column with linear interpolation; None without values.
+
+    ``F.percentile`` gathers every distinct value in its final task.  Here the
+    column alone is stored once, as the plan above it may be dear, and all
+    passes of all quantiles read that table (``values_at_ranks``).
     """
     c = F.col(col) if isinstance(col, str) else col
-    v = df.select(c.cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    eps = 2.0 / accuracy
-    n, lo, hi = v.agg(F.count(F.lit(1)), F.percentile_approx("_v", max(0.0, p - eps), accuracy),
-                      F.percentile_approx("_v", min(1.0, p + eps), accuracy)).first()
-    if not n:
-        return F.lit(None).cast("double")
-    # a value more on either side: on few rows the sketch's ranks are off by one against interpolation
-    lo, hi = v.agg(F.coalesce(F.max(F.when(F.col("_v") < lo, F.col("_v"))), F.lit(lo)),
-                   F.coalesce(F.min(F.when(F.col("_v") > hi, F.col("_v"))), F.lit(hi))).first()
-    key = F.when(F.col("_v") < lo, F.lit(float("-inf"))).otherwise(F.col("_v"))
-    inside = v.filter(F.col("_v") <= hi).groupBy(key.alias("_v")).agg(F.count(F.lit(1)).alias("_k"))
-    upto = F.sum("_k").over(Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
-    rank = (n - 1) * p
-    at = lambda r: F.min(F.when(F.col("_upto") > r, F.col("_v")))
-    low, high = inside.withColumn("_upto", upto).agg(at(math.floor(rank)), at(math.ceil(rank))).first()
-    return F.lit(low + (rank - math.floor(rank)) * (high - low))
+    v, path = stored_at(df.select(c.cast("double").alias("_v")).filter(F.col("_v").isNotNull()))
+    n, out = v.count(), []
+    for p in ps:
+        rank = (n - 1) * p
+        if not n:
+            out.append(None)
+            continue
+        low, high = math.floor(rank), math.ceil(rank)
+        at = values_at_ranks(v, n, {low, high}, accuracy, ordered)
+        out.append(at[low] + (rank - low) * (at[high] - at[low]) if high > low else at[low])
+    emptied(df.sparkSession, path)
+    return out
+
+
+def exact_quantile(df: DataFrame, col, p: float, accuracy: int = 10_000) -> Column:
+    """One exact quantile (``exact_quantiles``) as a literal; NULL without values."""
+    return F.lit(exact_quantiles(df, col, [p], accuracy)[0]).cast("double")
 
 
 def scalar(df: DataFrame, expr: Column) -> Column:

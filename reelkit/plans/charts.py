@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from reelkit.functions.clean import to_bigint_id, to_double, year_int
 from reelkit.functions.nested import names_lower, with_parsed_literals
 from reelkit.functions.scores import weighted_rating
-from reelkit.operators.relational import exact_quantile, global_position, quantile, scalar
+from reelkit.operators.relational import exact_quantile, exact_quantiles, global_position, quantile, scalar
+from reelkit.session import cut_lineage
 
 
 def _lit(x) -> Column:
@@ -56,6 +57,8 @@ def popularity_chart(movies: DataFrame, min_runtime=45, max_runtime=300,
     table; keep runtime in [min, max] and vote_count >= m; top n by score,
     ties by id.
     """
+    # read by the percentile, the mean and the chart: what the catalogue is made of is joined once
+    movies = cut_lineage(movies.select("id", "title", "vote_count", "vote_average", "runtime"))
     m = (exact_quantile(movies, "vote_count", min_votes_percentile) if exact
          else scalar(movies, quantile("vote_count", min_votes_percentile, exact)))
     c = scalar(movies, F.avg("vote_average"))
@@ -87,7 +90,8 @@ def chart_defaults(gen_df: DataFrame, preferred_genre: str = "animation",
     top_genre, has_pref = pick["top"], pick["has_pref"]
     valid_rt = F.when(F.col("runtime") > 0, F.col("runtime"))
     ranges = (gen_df.agg(F.min("year").alias("ymin"), F.max("year").alias("ymax"))
-              .withColumn("q25", exact_quantile(gen_df, valid_rt, 0.25)).withColumn("q75", exact_quantile(gen_df, valid_rt, 0.75)))
+              .withColumns({name: F.lit(q).cast("double")
+                            for name, q in zip(("q25", "q75"), exact_quantiles(gen_df, valid_rt, (0.25, 0.75)), strict=True)}))
     ymin = F.when(F.col("ymin").isNull() | (F.col("ymin") <= 0), F.lit(1900)).otherwise(F.col("ymin"))
     ymax = F.coalesce(F.col("ymax"), F.lit(2023))
     return ranges.select(
@@ -128,7 +132,6 @@ def knowledge_chart_from_defaults(gen_df: DataFrame, percentile: float = 0.8,
     thresholds, fallback flag) and the chart itself, so it is written once to
     the checkpoint dir instead of being re-derived for each.
     """
-    from reelkit.session import cut_lineage
     gen_df = cut_lineage(gen_df)
     p = chart_defaults(gen_df, preferred_genre=preferred_genre).first()  # one row of parameters
     return knowledge_chart(gen_df, p["genre"], p["low_time"], p["high_time"],

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from reelkit.functions.clean import (title_year, to_bigint_id, to_date, to_double, to_int_or_zero,
                                      year_int, year_string)
 from reelkit.functions.scores import weighted_rating
-from reelkit.operators.relational import (exact_quantile, filter_at_least_quantile, frequency,
+from reelkit.operators.relational import (exact_quantile, exact_quantiles, filter_at_least_quantile, frequency,
                                           sample_per_group, scalar, surrogate_id, top_n)
 from reelkit.plans.catalog import W, r6, register
 from reelkit.plans.charts import (chart_defaults, clean_catalogue, explode_genres,
                                   knowledge_chart_from_defaults, popularity_chart)
 from reelkit.plans.wrangling import budget_stats
+from reelkit.session import cut_lineage
 from reelkit.sources import proxy
 
 # Fixed parameters of the proxy catalogue: runtime (p_size) is 1-50, so the
@@ -277,9 +278,9 @@ SELECT round(quantile_cont(vote_count, 0.25), 6) AS q25, round(quantile_cont(vot
        round(quantile_cont(vote_count, 0.8), 6) AS q80, round(quantile_cont(vote_count, 0.9), 6) AS q90
 FROM movies""")
 def a7_quantiles(spark, sf_dir):
-    m = movies(spark, sf_dir)
-    return spark.range(1).select(*[r6(exact_quantile(m, "vote_count", p)).alias(n)
-                                   for p, n in ((0.25, "q25"), (0.75, "q75"), (0.8, "q80"), (0.9, "q90"))])
+    ps = {"q25": 0.25, "q75": 0.75, "q80": 0.8, "q90": 0.9}
+    found = exact_quantiles(movies(spark, sf_dir), "vote_count", list(ps.values()))
+    return spark.range(1).select(*[r6(F.lit(q).cast("double")).alias(n) for n, q in zip(ps, found, strict=True)])
 
 
 @register("A14_available_genres", W("movies") + GEN_SQL + """
@@ -373,7 +374,7 @@ def x2_genre_names(spark, sf_dir):
 SELECT id, round(vote_count / (vote_count + m) * vote_average + m / (m + vote_count) * c, 6) AS score
 FROM movies, st""")
 def x8_weighted_rating(spark, sf_dir):
-    m = movies(spark, sf_dir)
+    m = cut_lineage(movies(spark, sf_dir).select("id", "vote_count", "vote_average"))
     votes, mean = exact_quantile(m, "vote_count", 0.8), scalar(m, F.avg("vote_average"))
     return m.select("id", r6(weighted_rating("vote_count", "vote_average", votes, mean)).alias("score"))
 

@@ -105,6 +105,15 @@ def r13_svd(spark, sf_dir):
     return pred.select("rating_id", r6("pred").alias("pred"))
 
 
+@register("R15_personal_top_unrated", None)
+def r15_personal(spark, sf_dir):
+    from reelkit.plans.queries_charts import movies
+    ratings = proxy.ratings(spark, sf_dir)
+    items = movies(spark, sf_dir).select(F.col("id").alias("movie_id"), "title")
+    out = hybrid.top_unrated_personal(ratings.select("user_id"), ratings, items, hybrid.fit_biased_mf(ratings, rank=16, max_iter=5), 5)
+    return out.select("user_id", F.col("rank").cast("bigint").alias("rank"), "movie_id", "title", r6("pred").alias("pred"))
+
+
 @register("E4_svd_rmse", None)
 def e4_svd_rmse(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)

@@ -247,10 +247,10 @@ def e6_leaderboard_svd(spark, sf_dir):
     UNION ALL SELECT 'svd_beats_knn', NULL, CAST(svd < knn AS DOUBLE) FROM agg
     UNION ALL SELECT 'svd_within_10pct_of_best', NULL, CAST(svd <= best * 1.1 AS DOUBLE) FROM agg
     UNION ALL SELECT 'worst_over_1_5x_best', NULL, CAST(worst > best * 1.5 AS DOUBLE) FROM agg
-    UNION ALL SELECT 'best_cf', arg_min(model, rmse), min(rmse) FROM results WHERE model LIKE '%CF%' AND model LIKE '%based%' HAVING count(*) > 0
-    UNION ALL SELECT 'best_demographic', arg_min(model, rmse), min(rmse) FROM results WHERE model LIKE '%Gender%' OR model LIKE '%Occupation%' HAVING count(*) > 0
-    UNION ALL SELECT 'best_model', arg_min(model, rmse), min(rmse) FROM results WHERE model LIKE '%kNN%' OR model LIKE '%SVD%' HAVING count(*) > 0
-    UNION ALL SELECT 'best_baseline', arg_min(model, rmse), min(rmse) FROM results WHERE model = 'Baseline' HAVING count(*) > 0)
+    UNION ALL SELECT 'best_in_cf', arg_min(model, rmse), min(rmse) FROM results WHERE model LIKE '%CF%' AND model LIKE '%based%' HAVING count(*) > 0
+    UNION ALL SELECT 'best_in_demographic', arg_min(model, rmse), min(rmse) FROM results WHERE model LIKE '%Gender%' OR model LIKE '%Occupation%' HAVING count(*) > 0
+    UNION ALL SELECT 'best_in_model', arg_min(model, rmse), min(rmse) FROM results WHERE model LIKE '%kNN%' OR model LIKE '%SVD%' HAVING count(*) > 0
+    UNION ALL SELECT 'best_in_baseline', arg_min(model, rmse), min(rmse) FROM results WHERE model = 'Baseline' HAVING count(*) > 0)
 SELECT insight, model, round(value, 6) AS value FROM tidy""")
 def e7_insights(spark, sf_dir):
     ins = evaluate.insights(_results_spark(spark, sf_dir, LEADER_MODELS))

@@ -68,3 +68,18 @@ def test_global_position(spark):
     keys = [i * i * 1_000_003 for i in range(300)]
     df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(7)
     assert sorted((r.k, r.pos) for r in global_position(df, [F.asc("k")]).collect()) == [(k, i + 1) for i, k in enumerate(keys)]
+
+
+def test_exact_quantiles_narrow_down(spark):
+    import numpy as np
+
+    from reelkit.operators.relational import exact_quantiles
+    rng = np.random.default_rng(8)
+    for values in (rng.normal(size=4000), np.concatenate([[5.0] * 2500, rng.normal(5, 1, 1500)]), rng.integers(0, 6, 3000).astype(float),
+                   np.concatenate([[-1e300] * 900, rng.normal(size=200), [1e300] * 900])):
+        df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(6)
+        ps = [0.0, 0.1, 0.25, 0.5, 0.8, 0.999, 1.0]
+        got = exact_quantiles(df, "x", ps, accuracy=100, ordered=30)
+        for a, p in zip(got, ps, strict=True):
+            want = np.quantile(values, p)
+            assert abs(a - want) <= 1e-9 * max(1, abs(want)), p
