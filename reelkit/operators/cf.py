@@ -26,6 +26,7 @@ from pyspark.sql.window import Window
 
 from reelkit.operators.relational import (hash_slice, keep_groups_with_at_least, position_in_group,
                                          scalar)
+from reelkit.session import cut_lineage
 
 DEFAULT_RATING = 3.0
 
@@ -254,6 +255,53 @@ def predict_knn(train: DataFrame, pairs: DataFrame, k: int = 40, min_k: int = 1,
                  .drop("_num", "_den", "_k"))
 
 
+def cell_fold(folds: int, seed: int = 42):
+    """A user-item cell's fold, by a seeded hash, so that repeated ratings of an item by a user stay together."""
+    key = F.concat_ws("-", F.col("user_id").cast("string"), F.col("movie_id").cast("string"), F.lit(str(seed)))
+    return (F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % folds).cast("int")
+
+
+def fold_pair_stats(cells: DataFrame, target: int = 2000) -> DataFrame:
+    """(a, b, fold_a, fold_b) -> n_common, sqd over co-rated movies, by the folds of both users' cells; each pair once.
+
+    What a model trained without fold k needs of a pair is the sum of its rows
+    in which neither fold is k, so one join serves every fold.
+    """
+    pairs = salted_self_join(cells.select("movie_id", "user_id", "r", "fold"), "movie_id", "user_id", target, upper_only=True)
+    return (pairs.groupBy(F.col("a_user_id").alias("a"), F.col("b_user_id").alias("b"),
+                          F.col("a_fold").alias("fold_a"), F.col("b_fold").alias("fold_b"))
+                 .agg(F.count(F.lit(1)).alias("n_common"), F.sum((F.col("a_r") - F.col("b_r")) ** 2).alias("sqd")))
+
+
+def stats_without_fold(stats: DataFrame, fold: int) -> DataFrame:
+    """(u, v, n_common, sqd) of the cells outside a fold, both ways round."""
+    rest = (stats.filter((F.col("fold_a") != fold) & (F.col("fold_b") != fold)).groupBy("a", "b")
+                 .agg(F.sum("n_common").alias("n_common"), F.sum("sqd").alias("sqd")))
+    ways = F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))
+    return rest.select(F.explode(ways).alias("w"), "n_common", "sqd").select("w.u", "w.v", "n_common", "sqd")
+
+
+def cross_validate_knn(ratings: DataFrame, folds: int = 3, seed: int = 42, k: int = 40) -> DataFrame:
+    """E5 for the neighbourhood model: (fold, rmse, n) of each fold, from one co-rating join (``fold_pair_stats``).
+
+    A test cell's own user is no rater of its movie in training, as cells are
+    in one fold.  Folds without ratings give no row.
+    """
+    from reelkit.operators.evaluate import rmse
+    keyed = cut_lineage(ratings.withColumn("fold", cell_fold(folds, seed)))
+    cells = keyed.groupBy("user_id", "movie_id", "fold").agg(F.avg("rating").alias("r"))
+    stats = cut_lineage(fold_pair_stats(cells))
+    parts = []
+    for f in range(folds):
+        pred = predict_knn(keyed.filter(F.col("fold") != f), keyed.filter(F.col("fold") == f).drop("fold"), k=k,
+                           stats=stats_without_fold(stats, f))
+        parts.append(rmse(pred).filter("n > 0").select(F.lit(f).alias("fold"), "rmse", "n"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def predict_item_knn(train: DataFrame, pairs: DataFrame, target: int = 2000) -> DataFrame:
     """R21 (claimed, no code in the reference): item-based CF.
 

@@ -96,3 +96,30 @@ def test_demographic_fallbacks(spark):
     assert g["p"] == (5 + 4 + 2) / 3 and g["q"] == 3.0 and g["r"] == 3.0
     go = {r.rating_id: r.pred for r in cf.predict_gender_occupation(df, pairs, users).collect()}
     assert go["p"] == g["p"]          # no (M, y) rating of movie 10 -> gender mean
+
+
+def test_knn_cross_validation_equals_fold_by_fold(spark):
+    from reelkit.operators.evaluate import rmse
+    rng = np.random.default_rng(4)
+    rows = [(f"{u}-{i}-{c}", u, i, float(rng.integers(1, 6))) for u in range(30) for i in range(20) for c in range(2)
+            if rng.random() < (0.5 if c == 0 else 0.1)]
+    df = spark.createDataFrame(rows, "rating_id string, user_id long, movie_id long, rating double")
+    got = {r.fold: (r.n, r.rmse) for r in cf.cross_validate_knn(df, 3, k=5).collect()}
+    keyed = df.withColumn("fold", cf.cell_fold(3))
+    for f in range(3):
+        test = keyed.filter(F.col("fold") == f).drop("fold")
+        want = rmse(cf.predict_knn(keyed.filter(F.col("fold") != f).drop("fold"), test, k=5)).first()
+        assert got[f][0] == want.n and abs(got[f][1] - want.rmse) < 1e-9
+    assert cf.cross_validate_knn(df.limit(0), 3).count() == 0
+
+
+def test_python_scorer(spark):
+    from reelkit.operators.evaluate import python_scorer, score_model
+    from reelkit.plans.hybrid import predict_candidates
+    df = spark.createDataFrame([(f"r{i}", i % 4, i, float(i % 5 + 1)) for i in range(50)], "rating_id string, user_id long, movie_id long, rating double")
+    scorer = python_scorer(lambda pdf: [None if m == 7 else 1.0 + m % 3 for m in pdf["movie_id"]])
+    got = {r.rating_id: r.pred for r in scorer(df.repartition(5)).collect()}
+    assert got == {f"r{i}": 3.0 if i == 7 else 1.0 + i % 3 for i in range(50)}
+    assert score_model("mine", scorer(df)).first().n == 50 and scorer(df.limit(0)).count() == 0
+    cands = df.select("user_id", F.col("movie_id").alias("dst_id"))
+    assert {r.dst_id: r.est for r in predict_candidates(cands, scorer).collect()}[8] == 3.0
