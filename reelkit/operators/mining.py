@@ -188,16 +188,64 @@ def kmeans(vectors: DataFrame, k: int = 3, seed: int = 0, max_iter: int = 20,
     return assigned, centres, model.summary.trainingCost
 
 
-def elbow(vectors: DataFrame, max_k: int = 8, seed: int = 0, max_iter: int = 10) -> DataFrame:
-    """M3: inertia for k = 1..max_k (random init, 10 iterations); k = 1 in closed form."""
+def _lloyd_sums(books: list[np.ndarray]):
+    """Per partition and for every codebook of ``books``: each centre's count and sum of its rows, and the cost of all."""
+    def run(batches):
+        d = books[0].shape[1]
+        sums = [np.zeros((len(b), d + 1)) for b in books]
+        costs = np.zeros(len(books))
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            x = np.vstack(pdf["features"].to_numpy()).astype(float)
+            for b, (book, acc) in enumerate(zip(books, sums, strict=True)):
+                near = (np.einsum("ij,ij->i", book, book) - 2 * x @ book.T).argmin(axis=1)
+                np.add.at(acc[:, d], near, 1)
+                np.add.at(acc[:, :d], near, x)
+                costs[b] += ((x - book[near]) ** 2).sum()
+        flat = [(b, j, p, float(v)) for b, acc in enumerate(sums) for j in range(len(acc)) if acc[j, d] for p, v in enumerate(acc[j])]
+        flat += [(b, -1, -1, float(c)) for b, c in enumerate(costs)]
+        yield pd.DataFrame(flat, columns=["book", "centre", "pos", "v"])
+    return run
+
+
+def elbow(vectors: DataFrame, max_k: int = 8, starts: int = 4, rounds: int = 10) -> DataFrame:
+    """M3: (k, inertia) for k = 1..max_k, the best of several starts after ``rounds`` of Lloyd's steps.
+
+    All k and all starts step together: a round is one pass over the vectors
+    and one aggregate of at most starts x max_k^2 / 2 x d sums, which is what
+    the driver sees.  Start number s of k takes the rows s * max_k to s * max_k
+    + k - 1 in the order of the md5 of their ids, so that it is the same in
+    every run.  A centre without rows stays.  A clustering of k - 1 centres is
+    one of k with a centre unused, so inertia never rises with k.  Fewer rows
+    than centres: as many centres as there are.  No rows: no result rows.
+    """
     spark = vectors.sparkSession
-    lf = long_form(vectors)
-    one = lf.groupBy("pos").agg((F.sum(F.col("x") * F.col("x")) - F.sum("x") * F.sum("x") / F.count(F.lit(1)))
-                                .alias("ss")).agg(F.sum("ss")).first()[0]
-    rows = [(1, float(one))]
-    for k in range(2, max_k + 1):
-        _, _, cost = kmeans(vectors, k, seed, max_iter, init_mode="random")
-        rows.append((k, float(cost)))
+    v = vectors.select("id", "features")
+    some = v.orderBy(F.md5(F.col("id").cast("string")), "id").limit(max_k * starts).collect()  # a bounded few
+    first = [np.array(r["features"], float) for r in some]
+    keys = [(k, s) for k in range(1, max_k + 1) for s in range(starts) if first[s * max_k:s * max_k + k]]
+    books = [np.stack(first[s * max_k:s * max_k + k]) for k, s in keys]
+    if not books:
+        return spark.createDataFrame([], "k int, inertia double")
+    d = books[0].shape[1]
+    for step in range(rounds + 1):
+        got = (v.select("features").mapInPandas(_lloyd_sums(books), "book int, centre int, pos int, v double")
+                .groupBy("book", "centre", "pos").agg(F.sum("v").alias("v")).toPandas())
+        if step == rounds:
+            break
+        sums = got[got.centre >= 0]
+        totals = [np.zeros((len(b), d + 1)) for b in books]
+        for book, centre, pos, value in sums.itertuples(index=False):
+            totals[book][centre, pos] = value
+        for b, t in zip(books, totals, strict=True):
+            used = t[:, d] > 0
+            b[used] = t[used, :d] / t[used, d:]
+    best, rows = float("inf"), []
+    costs = dict(zip(got[got.centre < 0].book, got[got.centre < 0].v, strict=True))
+    for k in range(1, max_k + 1):
+        best = min([best, *(costs[b] for b, key in enumerate(keys) if key[0] == k)])
+        rows.append((k, float(best)))
     return spark.createDataFrame(rows, "k int, inertia double")
 
 

@@ -78,9 +78,35 @@ def m2_centres(spark, sf_dir):
     return centres
 
 
-@register("M3_elbow", None)
+def _elbow_sql(max_k: int = 8, starts: int = 4, rounds: int = 10) -> str:
+    """Lloyd's steps for every k and start, a table a round."""
+    out = [f"""
+WITH v AS MATERIALIZED (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings)
+, picked AS (SELECT x, row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR)), id) - 1 AS i FROM v)
+, c0 AS MATERIALIZED (
+  SELECT k, i // {max_k} AS s, i % {max_k} AS j, x AS c
+  FROM picked JOIN (SELECT unnest(range(1, {max_k + 1})) AS k) ON i < {max_k * starts} AND i % {max_k} < k)"""]
+    for r in range(rounds + 1):
+        out.append(f"""
+, a{r} AS MATERIALIZED (
+  SELECT id, k, s, arg_min(j, dist) AS j, min(dist) AS dist
+  FROM (SELECT id, k, s, j, list_distance(x, c) AS dist FROM v CROSS JOIN c{r}) GROUP BY id, k, s)""")
+        if r < rounds:
+            out.append(f"""
+, c{r + 1} AS MATERIALIZED (
+  SELECT k, s, j, coalesce(n.c, c.c) AS c
+  FROM c{r} c LEFT JOIN (
+    SELECT k, s, j, list(m ORDER BY p) AS c
+    FROM (SELECT k, s, j, p, avg(e) AS m FROM (SELECT k, s, j, unnest(x) AS e, unnest(range(len(x))) AS p FROM a{r} JOIN v USING (id)) GROUP BY k, s, j, p)
+    GROUP BY k, s, j) n USING (k, s, j))""")
+    return "".join(out) + f"""
+SELECT k, round(min(inertia) OVER (ORDER BY k), 4) AS inertia
+FROM (SELECT k, min(cost) AS inertia FROM (SELECT k, s, sum(dist * dist) AS cost FROM a{rounds} GROUP BY k, s) GROUP BY k)"""
+
+
+@register("M3_elbow", _elbow_sql())
 def m3_elbow(spark, sf_dir):
-    return mining.elbow(proxy.vectors(spark, sf_dir), max_k=8)
+    return mining.elbow(proxy.vectors(spark, sf_dir), max_k=8).select("k", F.round("inertia", 4).alias("inertia"))
 
 
 @register("M4_spectral", None)

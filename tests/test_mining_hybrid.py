@@ -44,6 +44,10 @@ def test_pca_lda_kmeans(spark):
     assert len(ct) == 3            # blobs recovered up to a permutation
     el = mining.elbow(v, max_k=4).orderBy("k").collect()
     assert el[0].inertia > el[2].inertia
+    assert all(a.inertia >= b.inertia for a, b in zip(el, el[1:], strict=False))
+    assert abs(el[0].inertia - ((x - x.mean(0)) ** 2).sum()) < 1e-6 * el[0].inertia
+    assert el[2].inertia <= cost * 1.05
+    assert [r.k for r in mining.elbow(v.limit(2), max_k=4).collect()] == [1, 2, 3, 4] and mining.elbow(v.limit(0)).count() == 0
 
 
 def test_biased_mf_beats_constant(spark):
