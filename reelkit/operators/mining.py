@@ -12,7 +12,6 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans, PowerIterationClustering
-from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +19,9 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from reelkit.functions.scores import cosine, euclidean, pearson
 from reelkit.operators import boosting
-from reelkit.operators.relational import global_position, top_n_per_group
+from reelkit.operators.neighbours import neighbour_graph
+from reelkit.operators.relational import global_position
+from reelkit.session import cut_lineage
 
 
 def long_form(vectors: DataFrame, id_col: str = "id", feat: str = "features") -> DataFrame:
@@ -249,25 +250,9 @@ def elbow(vectors: DataFrame, max_k: int = 8, starts: int = 4, rounds: int = 10)
     return spark.createDataFrame(rows, "k int, inertia double")
 
 
-def knn_graph(vectors: DataFrame, n_neighbors: int = 10, bucket_length: float | None = None,
-              seed: int = 42) -> DataFrame:
-    """Approximate symmetric kNN graph (src, dst, weight) by LSH (M4 input).
-
-    Candidate pairs come from a bucketed random-projection join (no cross
-    join); buckets are as wide as the data's own spread along a random
-    direction (by default), whatever its scale.  Each point keeps its n nearest
-    candidates, however far; edges are symmetrised.
-    """
-    v = _vec(vectors)
-    if bucket_length is None:
-        per = long_form(vectors).groupBy("pos").agg(F.var_pop("x").alias("s"))
-        bucket_length = max(float(per.agg(F.coalesce(F.sqrt(F.avg("s")), F.lit(1.0))).first()[0]), 1e-9)
-    lsh = BucketedRandomProjectionLSH(inputCol="_v", outputCol="_h", bucketLength=bucket_length,
-                                      numHashTables=4, seed=seed).fit(v)
-    pairs = (lsh.approxSimilarityJoin(v, v, float("inf"), distCol="d")
-                .select(F.col("datasetA.id").alias("src"), F.col("datasetB.id").alias("dst"), "d")
-                .filter(F.col("src") != F.col("dst")))
-    near = top_n_per_group(pairs, "src", [F.asc("d"), F.asc("dst")], n_neighbors, "r")
+def knn_graph(vectors: DataFrame, n_neighbors: int = 10, seed: int = 42) -> DataFrame:
+    """Symmetric kNN graph (src, dst, weight) by descent on neighbours (M4 input; ``neighbours.neighbour_graph``)."""
+    near = neighbour_graph(vectors.select(F.col("id").cast("long").alias("id"), "features"), n_neighbors, seed=seed)
     both = near.select("src", "dst").unionByName(near.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     return both.distinct().withColumn("weight", F.lit(1.0))
 
@@ -275,10 +260,10 @@ def knn_graph(vectors: DataFrame, n_neighbors: int = 10, bucket_length: float |
 def spectral(vectors: DataFrame, k: int = 2, n_neighbors: int = 10, seed: int = 42) -> DataFrame:
     """M4: power-iteration clustering on the kNN graph; (id, cluster).
 
-    A point that met no other in any bucket has no edge: it is a cluster of
-    its own, numbered from k on by id.
+    A point without another one has no edge: it is a cluster of its own,
+    numbered from k on by id.
     """
-    g = knn_graph(vectors, n_neighbors, seed=seed)
+    g = cut_lineage(knn_graph(vectors, n_neighbors, seed=seed))  # read by the clustering again and again
     pic = PowerIterationClustering(k=k, maxIter=20, srcCol="src", dstCol="dst", weightCol="weight")
     found = pic.assignClusters(g).select(F.col("id"), F.col("cluster"))
     alone = vectors.select(F.col("id").cast("long").alias("id")).join(found, "id", "left_anti")
