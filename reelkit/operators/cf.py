@@ -10,6 +10,7 @@ Scale notes
 * The utility matrix stays long: ``cells(user_id, movie_id, r)`` with
   duplicates averaged (A9).  Zero-filling changes neither dot products nor
   norms, so cosine needs only the observed cells.
+* R9's sums are taken over pairs of movies or of users, whichever are fewer.
 * User-user statistics come from a self-join of the cells on the movie.  A
   movie rated by a third of all users would put a quadratic number of pairs
   into one task, so hot movies are salted on both sides
@@ -78,7 +79,7 @@ def cell_means(ratings: DataFrame) -> DataFrame:
 
 def salted_self_join(cells: DataFrame, key: str, member: str, target: int = 2000,
                      left_prefix: str = "a_", right_prefix: str = "b_",
-                     upper_only: bool = False) -> DataFrame:
+                     upper_only: bool = False, left_if: str | None = None, right_if: str | None = None) -> DataFrame:
     """All (a, b) member pairs sharing ``key``, with hot keys split across tasks.
 
     b = ceil(count(key) / target) slices per side; cold keys (b = 1) are not
@@ -86,7 +87,8 @@ def salted_self_join(cells: DataFrame, key: str, member: str, target: int = 2000
     b x b slice pairs are separate join keys, so no task holds its whole
     k x k block.  With ``upper_only`` each unordered pair {a, b} (a != b) is
     produced once, as a < b (only slice pairs with left <= right are built),
-    halving the work for symmetric measures.
+    halving the work for symmetric measures.  ``left_if`` and ``right_if`` are
+    conditions on the rows that stand on either side.
     Output columns: key, a_<col>, b_<col> for every other column.
     """
     sizes = cells.groupBy(key).agg(F.count(F.lit(1)).alias("_k"))
@@ -98,10 +100,11 @@ def salted_self_join(cells: DataFrame, key: str, member: str, target: int = 2000
     # left rows of slice s meet right slices s..b-1 (upper) or 0..b-1 (all)
     left_partners = F.sequence(slice_of if upper_only else F.lit(0), last)
     right_partners = F.sequence(F.lit(0), slice_of if upper_only else last)
-    left = sized.select(key, slice_of.alias("_sa"), F.explode(left_partners).alias("_sb"),
+    lefts, rights = (sized.filter(c) if c else sized for c in (left_if, right_if))
+    left = lefts.select(key, slice_of.alias("_sa"), F.explode(left_partners).alias("_sb"),
                         *[F.col(c).alias(left_prefix + c) for c in others])
-    right = sized.select(key, slice_of.alias("_sb"), F.explode(right_partners).alias("_sa"),
-                         *[F.col(c).alias(right_prefix + c) for c in others])
+    right = rights.select(key, slice_of.alias("_sb"), F.explode(right_partners).alias("_sa"),
+                          *[F.col(c).alias(right_prefix + c) for c in others])
     out = left.join(right, [key, "_sa", "_sb"])
     if upper_only:
         a, b = F.col(left_prefix + member), F.col(right_prefix + member)
@@ -115,12 +118,23 @@ def salted_self_join(cells: DataFrame, key: str, member: str, target: int = 2000
     return out.drop("_sa", "_sb")
 
 
-def user_pair_stats(cells: DataFrame, target: int = 2000) -> DataFrame:
+def user_pair_stats(cells: DataFrame, target: int = 2000, asking: DataFrame | None = None) -> DataFrame:
     """(u, v) -> n_common, dot = sum r_u*r_v, sqd = sum (r_u-r_v)^2 over co-rated movies.
 
     Includes u = v.  Pairs without a common movie are absent (their dot is 0).
+    With ``asking`` (distinct user_id), only pairs in which one user asks are
+    built, so that a few users' requests don't meet everyone's pairs.
     """
-    pairs = salted_self_join(cells.select("movie_id", "user_id", "r"), "movie_id", "user_id", target, upper_only=True)
+    long = cells.select("movie_id", "user_id", "r")
+    if asking is None:
+        pairs = salted_self_join(long, "movie_id", "user_id", target, upper_only=True)
+    else:
+        flagged = long.join(asking.select("user_id", F.lit(True).alias("asks")), "user_id", "left")
+        among = salted_self_join(flagged.filter("asks").drop("asks"), "movie_id", "user_id", target, upper_only=True)
+        others = salted_self_join(flagged, "movie_id", "user_id", target, left_if="asks", right_if="asks is null")
+        a, b = F.col("a_user_id"), F.col("b_user_id")
+        pairs = among.select("a_user_id", "b_user_id", "a_r", "b_r").unionByName(
+            others.select(F.least(a, b).alias("a_user_id"), F.greatest(a, b).alias("b_user_id"), "a_r", "b_r"))
     once = (pairs.groupBy(F.col("a_user_id").alias("a"), F.col("b_user_id").alias("b"))
                  .agg(F.count(F.lit(1)).alias("n_common"),
                       F.sum(F.col("a_r") * F.col("b_r")).alias("dot"),
@@ -189,14 +203,68 @@ def _raters(cells: DataFrame, pairs: DataFrame, target: int = 2000) -> DataFrame
     return sliced_join(pairs.select("rating_id", "user_id", "movie_id"), raters, "movie_id", "v", target)
 
 
-def predict_user_wmean(train: DataFrame, pairs: DataFrame, stats: DataFrame | None = None) -> DataFrame:
-    """Cosine-weighted mean of everyone's rating of the movie; 0 weight or unseen -> 3.0."""
-    cells = cell_means(train)
+def item_pair_products(cells: DataFrame, target: int = 2000) -> DataFrame:
+    """(movie_id, i) -> num = sum r_vi * r_vm / |v|, den = sum r_vi / |v| over the raters v of both movies.
+
+    Both ways round, and movie_id = i.  Each user's pairs of movies are made
+    once, a hot user's in slices, and aggregated before the shuffle.  Raters of
+    norm zero say nothing.
+    """
+    scaled = cells.join(user_norms(cells), "user_id").select(
+        "user_id", "movie_id", "r", F.try_divide("r", "norm").alias("w")).filter("w is not null")
+    pairs = salted_self_join(scaled, "user_id", "movie_id", target, upper_only=True)
+    once = (pairs.groupBy(F.col("a_movie_id").alias("a"), F.col("b_movie_id").alias("b"))
+                 .agg(F.sum(F.col("a_w") * F.col("b_r")).alias("num"), F.sum("a_w").alias("den_b"), F.sum("b_w").alias("den_a")))
+    ways = F.array(F.struct(F.col("a").alias("movie_id"), F.col("b").alias("i"), F.col("den_a").alias("den")),
+                   F.struct(F.col("b").alias("movie_id"), F.col("a").alias("i"), F.col("den_b").alias("den")))
+    both = once.select(F.explode(ways).alias("p"), "num").select("p.movie_id", "p.i", "num", "p.den")
+    own = scaled.groupBy("movie_id").agg(F.sum(F.col("w") * F.col("r")).alias("num"), F.sum("w").alias("den"))
+    return both.unionByName(own.select("movie_id", F.col("movie_id").alias("i"), "num", "den"))
+
+
+def _wmean_sums_by_movies(cells: DataFrame, pairs: DataFrame, target: int) -> DataFrame:
+    """(rating_id, _num, _den) from pairs of movies: see ``predict_user_wmean``."""
+    own = cells.select("user_id", F.col("movie_id").alias("i"), "r")
+    cand = (sliced_join(pairs.select("rating_id", "user_id", "movie_id"), own, "user_id", "i", target)
+            .join(item_pair_products(cells, target), ["movie_id", "i"]))
+    return cand.groupBy("rating_id").agg(F.sum(F.col("r") * F.col("num")).alias("_num"), F.sum(F.col("r") * F.col("den")).alias("_den"))
+
+
+def _wmean_sums_by_users(cells: DataFrame, pairs: DataFrame, stats: DataFrame, target: int) -> DataFrame:
+    """(rating_id, _num, _den) from the cosines of pairs of users."""
     sims = user_cosine(cells, stats)
-    cand = _raters(cells, pairs).join(
+    cand = _raters(cells, pairs, target).join(
         sims.select(F.col("u").alias("user_id"), "v", "sim"), ["user_id", "v"], "left")
     w = F.coalesce(F.col("sim"), F.lit(0.0))
-    agg = cand.groupBy("rating_id").agg(F.sum(w * F.col("r_v")).alias("_num"), F.sum(w).alias("_den"))
+    return cand.groupBy("rating_id").agg(F.sum(w * F.col("r_v")).alias("_num"), F.sum(w).alias("_den"))
+
+
+def predict_user_wmean(train: DataFrame, pairs: DataFrame, stats: DataFrame | None = None, target: int = 2000,
+                       by: str | None = None, few_users: bool = False) -> DataFrame:
+    """Cosine-weighted mean of everyone's rating of the movie; 0 weight or unseen -> 3.0.
+
+    With sim(u, v) = sum_i r_ui r_vi / (|u| |v|), the sums over the raters v of
+    a movie m turn into sums over u's own movies i:
+
+        sum_v sim(u, v) r_vm = 1/|u| * sum_i r_ui * (sum_v r_vi r_vm / |v|)
+
+    and the same without r_vm for the weights; |u| cancels.  What stands in the
+    brackets belongs to a pair of movies (``item_pair_products``), so that no
+    pair of users is built.  Pairs of movies grow with the square of a user's
+    movies, pairs of users with that of a movie's raters: the side with fewer
+    is taken (``by`` = "movies" or "users" names it; ``stats`` implies users).
+    ``few_users``: see ``predict_knn``.
+    """
+    cells = cell_means(train)
+    if stats is None:
+        cells = cut_lineage(cells)
+        if by is None:
+            of_users, of_movies = (cells.groupBy(k).count().agg(F.sum(F.col("count").cast("double") ** 2)).first()[0] or 0
+                                   for k in ("movie_id", "user_id"))
+            by = "movies" if of_movies < of_users else "users"
+        if by == "users":
+            stats = user_pair_stats(cells, target, pairs.select("user_id").distinct() if few_users else None)
+    agg = (_wmean_sums_by_movies(cells, pairs, target) if stats is None else _wmean_sums_by_users(cells, pairs, stats, target))
     pred = F.when(F.col("_den") != 0, F.col("_num") / F.col("_den"))
     return (pairs.join(agg, "rating_id", "left")
                  .withColumn("pred", F.coalesce(pred, F.lit(DEFAULT_RATING)))
@@ -230,16 +298,19 @@ def predict_gender_occupation(train: DataFrame, pairs: DataFrame, users: DataFra
 
 
 def predict_knn(train: DataFrame, pairs: DataFrame, k: int = 40, min_k: int = 1,
-                scale=(1.0, 5.0), stats: DataFrame | None = None) -> DataFrame:
+                scale=(1.0, 5.0), stats: DataFrame | None = None, few_users: bool = False) -> DataFrame:
     """User-based kNN with MSD similarity 1/(msd+1).
 
     For each pair: the k most similar raters of the movie (ties by user id)
     with positive similarity; weighted mean of their ratings; fewer than
     min_k neighbours (or unknown user/movie) -> global mean of training
-    ratings; clipped to the rating scale.
+    ratings; clipped to the rating scale.  ``few_users``: the pairs are those of
+    a few users, as when requests are served, not of nearly everyone, as in a
+    test set; only co-ratings with them are built then.
     """
     cells = cell_means(train)
-    stats = stats if stats is not None else user_pair_stats(cells)
+    if stats is None:
+        stats = user_pair_stats(cells, asking=pairs.select("user_id").distinct() if few_users else None)
     msd_sim = stats.select(F.col("u").alias("user_id"), "v",
                            (1.0 / (F.col("sqd") / F.col("n_common") + 1.0)).alias("sim"))
     cand = _raters(cells, pairs).join(msd_sim, ["user_id", "v"]).filter(F.col("sim") > 0)

@@ -123,3 +123,34 @@ def test_python_scorer(spark):
     assert score_model("mine", scorer(df)).first().n == 50 and scorer(df.limit(0)).count() == 0
     cands = df.select("user_id", F.col("movie_id").alias("dst_id"))
     assert {r.dst_id: r.est for r in predict_candidates(cands, scorer).collect()}[8] == 3.0
+
+
+def test_predictions_from_the_pairs_asked_equal_those_from_all_pairs(spark):
+    rng = np.random.default_rng(9)
+    rows = [(f"{u}-{i}-{c}", u, i, float(rng.integers(0, 6))) for u in range(25) for i in range(18) for c in range(2)
+            if rng.random() < (0.4 if c == 0 else 0.1) or (c == 0 and i == 0)]       # movie 0 is everyone's
+    rows += [("z1", 90, 0, 0.0), ("z2", 90, 1, 0.0)]                                # a user of norm zero
+    df = spark.createDataFrame(rows, "rating_id string, user_id long, movie_id long, rating double")
+    asked = [(f"p{u}-{i}", u, i) for u in (2, 3, 7, 90, 555) for i in (0, 1, 5, 17, 777)]
+    pairs = spark.createDataFrame(asked, "rating_id string, user_id long, movie_id long")
+    users, movies, mat, cells = _dense([(k, u, m, r) for k, u, m, r in rows])
+    norms = np.linalg.norm(mat, axis=1)
+    got = {r.rating_id: r.pred for r in cf.predict_user_wmean(df, pairs, target=3, by="movies").collect()}
+    again = {r.rating_id: r.pred for r in cf.predict_user_wmean(df, pairs, target=3, by="users", few_users=True).collect()}
+    assert all(abs(got[k] - again[k]) < 1e-9 for k in got) and len(got) == len(again) == len(asked)
+    for key, u, i in asked:
+        raters = [v for v in users if (v, i) in cells]
+        sims = {v: mat[users.index(u)] @ mat[users.index(v)] / (norms[users.index(u)] * norms[users.index(v)])
+                for v in raters if u in users and norms[users.index(u)] * norms[users.index(v)] > 0}
+        den = sum(sims.values())
+        want = sum(s * np.mean(cells[(v, i)]) for v, s in sims.items()) / den if den else 3.0
+        assert abs(got[key] - want) < 1e-9, key
+
+    few, every = cf.user_pair_stats(cf.cell_means(df), 3, pairs.select("user_id").distinct()), cf.user_pair_stats(cf.cell_means(df))
+    ask = {2, 3, 7, 90, 555}
+    want = {(r.u, r.v): (r.n_common, r.dot, r.sqd) for r in every.collect() if r.u == r.v or {r.u, r.v} & ask}
+    found = few.collect()
+    assert {(r.u, r.v): (r.n_common, r.dot, r.sqd) for r in found}.keys() == want.keys() and len(found) == len(want)
+    assert all(np.allclose(want[(r.u, r.v)], (r.n_common, r.dot, r.sqd)) for r in found)
+    full = {r.rating_id: r.pred for r in cf.predict_knn(df, pairs, stats=every).collect()}
+    assert all(abs(full[r.rating_id] - r.pred) < 1e-9 for r in cf.predict_knn(df, pairs, few_users=True).collect())
