@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, PowerIterationClustering
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from reelkit.functions.scores import cosine, euclidean, pearson
 from reelkit.operators import boosting
+from reelkit.operators.embedding import spectral_embedding
 from reelkit.operators.neighbours import neighbour_graph
 from reelkit.operators.relational import global_position
 from reelkit.session import cut_lineage
@@ -257,15 +258,24 @@ def knn_graph(vectors: DataFrame, n_neighbors: int = 10, seed: int = 42) -> Data
     return both.distinct().withColumn("weight", F.lit(1.0))
 
 
-def spectral(vectors: DataFrame, k: int = 2, n_neighbors: int = 10, seed: int = 42) -> DataFrame:
-    """M4: power-iteration clustering on the kNN graph; (id, cluster).
+def spectral(vectors: DataFrame, k: int = 2, n_neighbors: int = 10, seed: int = 42, starts: int = 3) -> DataFrame:
+    """M4: spectral clustering on the kNN graph; (id, cluster).
 
-    A point without another one has no edge: it is a cluster of its own,
-    numbered from k on by id.
+    The ``k`` leading eigenvectors of the normalised graph (``spectral_embedding``),
+    divided by the root of a point's degree, are clustered by k-means, the best
+    of several starts.  A point without another one has no edge: it is a
+    cluster of its own, numbered from k on by id.
     """
-    g = cut_lineage(knn_graph(vectors, n_neighbors, seed=seed))  # read by the clustering again and again
-    pic = PowerIterationClustering(k=k, maxIter=20, srcCol="src", dstCol="dst", weightCol="weight")
-    found = pic.assignClusters(g).select(F.col("id"), F.col("cluster"))
+    g = cut_lineage(knn_graph(vectors, n_neighbors, seed=seed))  # read again and again
+    e, values = spectral_embedding(g, k, seed=seed)
+    degrees = g.groupBy(F.col("src").alias("id")).agg(F.sqrt(F.sum("weight")).alias("root"))
+    rows = e.join(degrees, "id").select("id", F.lit(None).cast("string").alias("label"),
+                                        F.array(*[F.col(f"e{j}") / F.col("root") for j in range(max(1, len(values)))]).alias("features"))
+    rows = cut_lineage(rows)
+    if len(values):
+        found = min((kmeans(rows, k, seed + s, init_mode="random") for s in range(starts)), key=lambda fit: fit[2])[0].select("id", "cluster")
+    else:
+        found = rows.select("id", F.lit(0).alias("cluster"))
     alone = vectors.select(F.col("id").cast("long").alias("id")).join(found, "id", "left_anti")
     numbered = global_position(alone, [F.asc("id")], "_n").select("id", (F.lit(k - 1) + F.col("_n")).cast("int").alias("cluster"))
     return found.unionByName(numbered)
