@@ -53,7 +53,7 @@ def _combined(state: DataFrame, mix: np.ndarray, source: str) -> list:
     return [sum((F.col(f"{source}{i}") * float(mix[i, j]) for i in range(mix.shape[0])), F.lit(0.0)) for j in range(mix.shape[1])]
 
 
-def spectral_embedding(links: DataFrame, k: int, degree: int = 6, rounds: int = 12, tolerance: float = 1e-3,
+def spectral_embedding(links: DataFrame, k: int, degree: int = 10, rounds: int = 6, tolerance: float = 1e-3,
                        seed: int = 42) -> tuple[DataFrame, np.ndarray]:
     """((id, e0.. of the points that have a link), eigenvalues): the ``k`` leading eigenvectors of D^-1/2 W D^-1/2, i.e. the
     last ones of the normalised Laplacian.

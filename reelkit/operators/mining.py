@@ -267,7 +267,7 @@ def spectral(vectors: DataFrame, k: int = 2, n_neighbors: int = 10, seed: int =
     cluster of its own, numbered from k on by id.
     """
     g = cut_lineage(knn_graph(vectors, n_neighbors, seed=seed))  # read again and again
-    e, values = spectral_embedding(g, k, seed=seed)
+    e, values = spectral_embedding(g, k, rounds=3, tolerance=1e-2, seed=seed)  # finer than k-means needs
     degrees = g.groupBy(F.col("src").alias("id")).agg(F.sqrt(F.sum("weight")).alias("root"))
     rows = e.join(degrees, "id").select("id", F.lit(None).cast("string").alias("label"),
                                         F.array(*[F.col(f"e{j}") / F.col("root") for j in range(max(1, len(values)))]).alias("features"))
