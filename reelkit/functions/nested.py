@@ -4,7 +4,7 @@ Fast path: a JSON parse on the JVM after rewriting the python keywords
 (``None/True/False``) that JSON spells differently; single quotes are accepted
 by Spark's JSON reader.  Rows the JSON parser cannot read (escapes such as
 ``\\xa0``, tuples, ...) fall back to an Arrow-batched pandas UDF over the
-standard-library ``ast.literal_eval``; it only sees the rows the fast path
+standard-library ``ast.literal_eval``; it only sees the text that the fast path
 left NULL, so the Python worker does no work on clean data.
 """
 
@@ -40,7 +40,11 @@ def _literal_to_json(s: pd.Series) -> pd.Series:
             return json.dumps(ast.literal_eval(x), default=str)
         except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
             return None
-    return s.map(one)
+    out = pd.Series(None, index=s.index, dtype=object)
+    left = s.notna()
+    if left.any():
+        out[left] = s[left].map(one)
+    return out
 
 
 def parse_literal_list(c, schema=MEMBER_LIST) -> Column:
@@ -82,23 +86,17 @@ def count_unreadable(parsed: DataFrame, raw: DataFrame, col: str) -> DataFrame:
 def with_parsed_literals(df: DataFrame, cols, schema=MEMBER_LIST, suffix: str = "") -> DataFrame:
     """X1 with the fallback: parse each column in ``cols`` into ``<col><suffix>``.
 
-    Rows whose text the JVM path could not read are split off and parsed by
-    ``ast.literal_eval`` in an Arrow pandas UDF; only those rows reach Python
-    (a Python UDF inside a CASE would run on every row).  Text that even
-    ``literal_eval`` rejects stays NULL (D22).
+    Text that the JVM path could not read goes through ``ast.literal_eval`` in
+    an Arrow pandas UDF, whose argument is NULL for all other rows: ``df`` is
+    run once, and Python gets batches of NULLs where nothing is left to read.
+    Text that even ``literal_eval`` rejects stays NULL (D22).
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
-    fast = df.select("*", *[parse_literal_list(c, schema).alias(c + suffix + "__p") for c in cols])
-    failed = None
-    for c in cols:
-        cond = F.col(c).isNotNull() & F.col(c + suffix + "__p").isNull()
-        failed = cond if failed is None else (failed | cond)
-    good = fast.filter(~failed)
-    bad = fast.filter(failed)
+    out = df.select("*", *[parse_literal_list(c, schema).alias(c + suffix + "__p") for c in cols])
     for c in cols:
-        bad = bad.withColumn(c + suffix + "__p", F.coalesce(F.col(c + suffix + "__p"),
-                                                            _from_json(_literal_to_json(F.col(c)), schema)))
-    out = good.unionByName(bad)
+        fast = F.col(c + suffix + "__p")
+        slow = _from_json(_literal_to_json(F.when(fast.isNull(), F.col(c))), schema)
+        out = out.withColumn(c + suffix + "__p", F.coalesce(fast, slow))
     for c in cols:
         out = out.withColumnRenamed(c + suffix + "__p", c + suffix) if suffix else \
             out.drop(c).withColumnRenamed(c + "__p", c)

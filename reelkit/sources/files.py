@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from reelkit.sources.records import read_quoted_csv
+
 # ---------------------------------------------------------------- schemas (FIXTURES §1)
 
 USERS = "user_id int, age int, sex string, occupation string, zip_code string"
@@ -31,16 +33,15 @@ TITLE_MAP = "title string, id long"
 IRIS = "sepal_length double, sepal_width double, petal_length double, petal_width double, class string"
 
 
-def _csv(spark: SparkSession, schema, header: bool, sep: str = ",", encoding: str = "UTF-8",
-         multiline: bool = False):
+def _csv(spark: SparkSession, schema, header: bool, sep: str = ",", encoding: str = "UTF-8"):
     return (spark.read.schema(schema).option("header", header).option("sep", sep)
-                 .option("encoding", encoding).option("multiLine", multiline)
+                 .option("encoding", encoding)
                  .option("escape", '"').option("mode", "PERMISSIVE"))
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Headered CSV with quoted multi-line text; numerics stay text where dirty."""
-    return _csv(spark, METADATA, header=True, multiline=True).csv(path)
+    return read_quoted_csv(spark, path, METADATA)
 
 
 def read_users(spark: SparkSession, path: str) -> DataFrame:
@@ -75,11 +76,11 @@ def read_links(spark: SparkSession, path: str) -> DataFrame:
 
 def read_credits(spark: SparkSession, path: str) -> DataFrame:
     """Credits with nested literals as text."""
-    return _csv(spark, CREDITS, header=True, multiline=True).csv(path)
+    return read_quoted_csv(spark, path, CREDITS)
 
 
 def read_keywords(spark: SparkSession, path: str) -> DataFrame:
-    return _csv(spark, KEYWORDS, header=True, multiline=True).csv(path)
+    return read_quoted_csv(spark, path, KEYWORDS)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
