@@ -41,8 +41,8 @@ class Prefixes:
     """Prefix hashes of a buffer: the hash of any substring in constant time.
 
     hash(i, n) = sum of value[b(i + j)] * BASE^(n - 1 - j), modulo 2^64: made as a difference of two prefix hashes.
-    Strings handled here are far shorter than those that collide by their form in this arithmetic; equal hashes are
-    verified on the bytes wherever they decide.
+    Strings handled here are far shorter than those that collide by their form in this arithmetic; where equal hashes
+    decide they are verified on the bytes, or on a digest of them where the bytes lie in different tasks.
     """
 
     def __init__(self, data: np.ndarray):

@@ -6,6 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -160,10 +161,10 @@ def repeated(group: np.ndarray, left: list[bytes], right: list[bytes], length: i
 
 # ------------------------------------------------------------------ anchors and contexts in tasks
 
-ANCHORS = "g long, c long, doc long, tag long, loc long, end long"
+ANCHORS = "g long, c long, v long, doc long, tag long, loc long, end long"
 
 
-def _of_text(data: bytes, gram: int, length: int):
+def _of_text(data: bytes, gram: int, length: int, bits: int = 64):
     """Anchor positions of a text, the hashes of their strings and of their contexts, and the contexts' bounds."""
     n, width = len(data), length - gram + 1
     px = Prefixes(np.frombuffer(data, np.uint8))
@@ -172,50 +173,57 @@ def _of_text(data: bytes, gram: int, length: int):
     at = np.unique(at[np.concatenate([[True], at[1:] != at[:-1]])])
     lo, hi = np.maximum(0, at - width + 1), np.minimum(n, at + length)
     context = spread(px.hash(lo, hi - lo) + ((at - lo) << 20 | hi - lo).astype(np.uint64))
-    return at, own[at], context, lo, hi
+    return at, own[at], context & np.uint64((1 << bits) - 1), lo, hi
 
 
-def _anchors(gram: int, length: int):
+def _anchors(gram: int, length: int, bits: int = 64):
+    """The anchors of some texts at a time: of those with equal contexts the earliest, and the ranges of the others.
+
+    So a passage that many documents share sends one row a batch to its string's
+    task.  Contexts are equal in a batch if their bytes are; each anchor sent on
+    carries a digest of its context's bytes, made apart from the hash.
+    """
     def run(batches):
         for batch in batches:
             for part in pieces(batch, "text", 8 << 20):
-                cols = [[] for _ in range(6)]
-                for doc, tag, text in zip(part.column("doc").to_pylist(), part.column("tag").to_pylist(),
-                                          part.column("text").to_pylist(), strict=True):
-                    if len(text) < length:
-                        continue
-                    at, g, c, lo, hi = _of_text(text, gram, length)
-                    order = np.lexsort((at, c, g))
-                    again = np.zeros(len(at), bool)
-                    again[order[1:]] = (g[order[1:]] == g[order[:-1]]) & (c[order[1:]] == c[order[:-1]])
-                    if again.any():
-                        again &= _verified(text, order, again, at, lo, hi)
-                    new = ~again
-                    ranges = np.ascontiguousarray(_merged(lo[again], hi[again]))
-                    k = len(ranges)
-                    alone = np.full(k, doc).view(np.uint64) * np.uint64(3) + np.full(k, tag).view(np.uint64) * np.uint64(5)
-                    alone += ranges[:, 0].astype(np.uint64)  # a range says all itself
-                    cols[0].append(np.concatenate([g[new], spread(alone)]))
-                    cols[1].append(np.concatenate([c[new], np.zeros(k, np.uint64)]))
-                    cols[2].append(np.full(int(new.sum()) + k, doc))
-                    cols[3].append(np.full(int(new.sum()) + k, tag))
-                    cols[4].append(np.concatenate([at[new], ranges[:, 0]]))
-                    cols[5].append(np.concatenate([np.zeros(int(new.sum()), np.int64), ranges[:, 1]]))
-                if cols[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in cols],
-                                                     names=["g", "c", "doc", "tag", "loc", "end"])
+                docs, tags, texts = (part.column(c).to_pylist() for c in ("doc", "tag", "text"))
+                found = [(r, *_of_text(t, gram, length, bits)) for r, t in enumerate(texts) if len(t) >= length]
+                if not found:
+                    continue
+                row = np.concatenate([np.full(len(f[1]), f[0]) for f in found])
+                at, g, c, lo, hi = (np.concatenate([f[i] for f in found]) for i in range(1, 6))
+                doc, tag = np.array(docs, np.int64)[row], np.array(tags, np.int64)[row]
+                order = np.lexsort((at, tag, doc, c, g))
+                again = np.zeros(len(at), bool)
+                again[order[1:]] = (g[order[1:]] == g[order[:-1]]) & (c[order[1:]] == c[order[:-1]])
+                same, itself = _verified(texts, order, again, row, lo, hi, np.stack([doc, tag, at]))
+                new = np.flatnonzero(~same)
+                digest = np.fromiter((xxhash.xxh3_64_intdigest(texts[row[i]][lo[i]:hi[i]]) for i in new), np.uint64, len(new))
+                gone = np.flatnonzero(same & ~itself)
+                gone = gone[np.argsort(row[gone], kind="stable")]
+                heads = np.flatnonzero(np.diff(row[gone], prepend=-1))
+                ranges = [(int(row[x[0]]), *r) for x in np.split(gone, heads[1:]) if len(x) for r in _merged(lo[x], hi[x]).tolist()]
+                owner, start, end = (np.array(x, np.int64) for x in (zip(*ranges, strict=True) if ranges else ([], [], [])))
+                k = len(ranges)
+                of, by = np.array(docs, np.int64)[owner], np.array(tags, np.int64)[owner]
+                alone = of.view(np.uint64) * np.uint64(3) + by.view(np.uint64) * np.uint64(5) + start.astype(np.uint64)
+                cols = [(g[new], spread(alone)), (c[new], np.zeros(k, np.uint64)), (digest, np.zeros(k, np.uint64)), (doc[new], of),
+                        (tag[new], by), (at[new], start), (np.zeros(len(new), np.int64), end)]  # a range says all itself
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in cols],
+                                                 names=["g", "c", "v", "doc", "tag", "loc", "end"])
     return run
 
 
-def _verified(text: bytes, order, again, at, lo, hi) -> np.ndarray:
-    """Of anchors whose context's hashes a text has already had: where the bytes are the same as at the first."""
-    out, first = np.zeros(len(at), bool), -1
+def _verified(texts: list[bytes], order, again, row, lo, hi, place) -> tuple[np.ndarray, np.ndarray]:
+    """Of anchors whose context's hashes stood in the batch before: where the bytes are the same as at the first, and
+    where the place (document, tag, position) is too, as it is in equal rows."""
+    same, itself, first = np.zeros(len(order), bool), np.zeros(len(order), bool), -1
     for i in order:
         if not again[i]:
             first = i
-        else:
-            out[i] = text[lo[i]:hi[i]] == text[lo[first]:hi[first]]
-    return out
+        elif texts[row[i]][lo[i]:hi[i]] == texts[row[first]][lo[first]:hi[first]]:
+            same[i], itself[i] = True, bool((place[:, i] == place[:, first]).all())
+    return same, itself
 
 
 def _merged(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -355,18 +363,19 @@ def _rows(docs: DataFrame, others: bool = False) -> DataFrame:
                        F.xxhash64(text).alias("tag"), rest.alias("others"))
 
 
-def marks(docs: DataFrame, gram: int = GRAM, length: int = LENGTH) -> DataFrame:
+def marks(docs: DataFrame, gram: int = GRAM, length: int = LENGTH, bits: int = 64) -> DataFrame:
     """doc, tag, g, loc, end, kind, classes of the anchors that have a say, stored.
 
     kind 0: a range that repeats an earlier one of the same row (loc to end);
     1: an anchor whose whole context stands earlier too; 2: the earliest anchor
-    with its context, where others share its string but not its context.
+    with its context, where others share its string but not its context.  Two
+    contexts are one if their hash (``bits`` of it) and the digest of their bytes are equal.
     """
     rows = _rows(docs)
-    found = rows.select("doc", "tag", "text").mapInArrow(_anchors(gram, length), ANCHORS)
+    found = rows.select("doc", "tag", "text").mapInArrow(_anchors(gram, length, bits), ANCHORS)
     dealt = found.repartition(max(partitions_of(rows), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "g") \
-                 .sortWithinPartitions("g", "c", "doc", "tag", "loc")
-    by_string, by_context = Window.partitionBy("g"), Window.partitionBy("g", "c").orderBy("doc", "tag", "loc")
+                 .sortWithinPartitions("g", "c", "v", "doc", "tag", "loc")
+    by_string, by_context = Window.partitionBy("g"), Window.partitionBy("g", "c", "v").orderBy("doc", "tag", "loc")
     nth = (dealt.withColumn("n", F.count(F.lit(1)).over(by_string)).filter("n > 1 or end > 0")
                 .withColumn("nth", F.rank().over(by_context)))  # equal rows of the table are one document
     nth = nth.withColumn("classes", F.sum(F.when(F.col("nth") == 1, 1).otherwise(0)).over(by_string))
@@ -396,7 +405,7 @@ def _without_later_copies(judged: DataFrame, length: int, full: bool) -> DataFra
 
 
 def remove_repeats(docs: DataFrame, gram: int = GRAM, length: int = LENGTH, full: bool = False,
-                   large: int = LARGE) -> DataFrame:
+                   large: int = LARGE, bits: int = 64) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row (and, if ``full``, the kept bytes, the text
     that they make without characters cut in two, the removed spans, and all other columns as one, ``others``).
 
@@ -407,7 +416,9 @@ def remove_repeats(docs: DataFrame, gram: int = GRAM, length: int = LENGTH, full
     position whose ``gram``-byte hash is least, which every copy of the string
     has too.  Anchors are dealt by that hash; an anchor alone with its string
     says nothing, and one whose whole context (all strings that it can stand
-    for) was seen before is settled.  For the rest the contexts' bytes are dealt
+    for) was seen before is settled: by its bytes within a batch of texts, of
+    which one anchor a context goes on, then by ``bits`` bits of prefix hash and
+    64 of a digest that has nothing in common with it.  For the rest the contexts' bytes are dealt
     by string and, in each group, the suffixes on both sides of the anchor are
     sorted (``sort_suffixes``); their common lengths tell for every string of a
     context whether an earlier one has it.  Groups of more than ``large``
@@ -422,7 +433,7 @@ def remove_repeats(docs: DataFrame, gram: int = GRAM, length: int = LENGTH, full
     others repeat it.  Empty table: no rows.
     """
     rows = _rows(docs, others=full)
-    said = marks(docs, gram, length)
+    said = marks(docs, gram, length, bits)
     by_doc = said.groupBy("doc", "tag").agg(
         F.collect_list(F.when(F.col("kind") == 1, F.col("loc"))).alias("settled"),
         F.collect_list(F.when(F.col("kind") == 0, F.struct(F.col("loc").alias("start"), "end"))).alias("ranges"),

@@ -55,6 +55,27 @@ def test_against_scan(spark):
     assert run(spark, rows, large=1) == brute(rows)  # every group by the aggregate
 
 
+def test_contexts_whose_hashes_all_collide(spark):
+    rows = corpus(2)
+    assert run(spark, rows, bits=0) == brute(rows)  # a collision for every two contexts of a string
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # no two texts meet in a batch
+    try:
+        assert run(spark, rows, bits=0) == run(spark, rows) == brute(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_one_anchor_a_context_leaves_a_batch():
+    import pyarrow as pa
+    shared = "".join(random.Random(5).choices("abcdefgh ", k=600)).encode()
+    texts = [shared] * 50 + [b"other " + shared]
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(51)), "tag": [0] * 51, "text": texts})
+    rows = [r for b in suffixes._anchors(24, 100)([batch]) for r in b.to_pylist()]
+    sent = [r for r in rows if not r["end"]]
+    assert len({(r["g"], r["c"], r["v"]) for r in sent}) == len(sent) and sum(r["doc"] > 0 for r in sent) <= 8
+    assert {(r["doc"], r["loc"], r["end"]) for r in rows if r["end"] and r["doc"] < 50} == {(i, 0, 600) for i in range(1, 50)}
+
+
 def test_periodic_and_awkward_rows(spark):
     rows = [(1, None), (2, ""), (3, "x" * 99), (4, "x" * 100), (5, "x" * 5000), (6, "ab" * 900), (7, "Erti " * 400 + "end"),
             (8, "é" * 300), (None, "q" * 120 + "z"), (9, "q" * 120), (10, "Erti " * 30), (11, "t" * 50 + "Erti " * 40)]
