@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reelkit.plans.catalog import W, r6, register
 from reelkit.session import checkpoint_dir
 from reelkit.sources import files, proxy
+from reelkit.sources.records import read_quoted_csv
 
 
 def _path(spark: SparkSession) -> str:
@@ -23,6 +24,33 @@ def _plain(df: DataFrame, sep: str, header: bool = False) -> str:
     return path
 
 
+@register("S1_multi_line_records", """
+SELECT doc_id AS id, md5(coalesce(text, '') || chr(10) || '"' || lang || '"' || chr(10)) AS digest FROM documents""")
+def s1_multi_line(spark, sf_dir):
+    """Whole texts with quotes and line feeds through CSV files and back, read in byte ranges."""
+    quoted = F.concat(F.coalesce("text", F.lit("")), F.lit('\n"'), F.col("lang"), F.lit('"\n'))
+    path = _path(spark)
+    files.write_table(proxy.table(spark, sf_dir, "documents").select("doc_id", quoted.alias("text")), path, fmt="csv")
+    return read_quoted_csv(spark, path, "id long, text string").select("id", F.md5("text").alias("digest"))
+
+
+@register("S11_iris_file", """
+SELECT CAST(l_quantity AS DOUBLE) AS sepal_length, CAST(l_extendedprice AS DOUBLE) AS sepal_width,
+       CAST(l_discount AS DOUBLE) AS petal_length, CAST(l_tax AS DOUBLE) AS petal_width, l_returnflag AS class FROM lineitem""")
+def s11_iris(spark, sf_dir):
+    """A headerless file of four measures and a class, with the reader's names."""
+    li = proxy.table(spark, sf_dir, "lineitem")
+    measures = [F.col(c).cast("double") for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
+    return files.read_iris(spark, _plain(li.select(*measures, "l_returnflag"), ","))
+
+
+@register("S19_fallback_source", W("ratings") + "SELECT rating_id, rating FROM ratings")
+def s19_fallback(spark, sf_dir):
+    """A source that turns out empty is replaced by the one named for that."""
+    r = proxy.ratings(spark, sf_dir).select("rating_id", "rating")
+    return files.with_fallback(r.filter("rating < 0"), r)
+
+
 @register("S2_users_file", W("users") + """
 SELECT CAST(user_id AS INTEGER) AS user_id, age, sex, occupation, 'T8H' || CAST(user_id AS VARCHAR) AS zip_code FROM users""")
 def s2_users(spark, sf_dir):

@@ -8,7 +8,7 @@ from reelkit.operators import cf, evaluate
 from reelkit.plans import content, hybrid
 from reelkit.plans.catalog import W, r6, register
 from reelkit.plans.queries_content import PAIRS_SQL, SOUP_BODY, SOUP_VIEWS, _soups
-from reelkit.plans.queries_ratings import _train_test
+from reelkit.plans.queries_ratings import SPLIT_SQL, _train_test
 from reelkit.sources import proxy
 
 HYBRID_BASE_SQL = W("ratings", *SOUP_VIEWS) + SOUP_BODY + PAIRS_SQL + """
@@ -105,6 +105,23 @@ def r13_svd(spark, sf_dir):
     return pred.select("rating_id", r6("pred").alias("pred"))
 
 
+BIAS_SQL = """
+, mu AS (SELECT avg(rating) AS mu FROM train)
+, bi AS (SELECT movie_id, sum(rating - mu.mu) / (count(*) + 5.0) AS b_i FROM train CROSS JOIN mu GROUP BY movie_id)
+, bu AS (SELECT user_id, sum(rating - mu.mu - b_i) / (count(*) + 5.0) AS b_u
+         FROM train JOIN bi USING (movie_id) CROSS JOIN mu GROUP BY user_id)
+, pred AS (SELECT rating_id, rating, least(5.0, greatest(1.0, mu.mu + coalesce(b_u, 0) + coalesce(b_i, 0))) AS pred
+           FROM test LEFT JOIN bu USING (user_id) LEFT JOIN bi USING (movie_id) CROSS JOIN mu)
+"""
+
+
+@register("R13_bias_predictions", SPLIT_SQL + BIAS_SQL + "SELECT rating_id, round(pred, 6) AS pred FROM pred")
+def r13_biases(spark, sf_dir):
+    """The model without factors: its biases alone, which SQL can repeat."""
+    train, test = _train_test(spark, sf_dir)
+    return hybrid.predict_svd(train, test, rank=0).select("rating_id", r6("pred").alias("pred"))
+
+
 @register("R15_personal_top_unrated", None)
 def r15_personal(spark, sf_dir):
     from reelkit.plans.queries_charts import movies
