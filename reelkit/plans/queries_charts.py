@@ -12,7 +12,7 @@ from reelkit.operators.relational import (exact_quantile, exact_quantiles, filte
 from reelkit.plans.catalog import W, r6, register
 from reelkit.plans.charts import (chart_defaults, clean_catalogue, explode_genres,
                                   knowledge_chart_from_defaults, popularity_chart)
-from reelkit.plans.wrangling import budget_stats
+from reelkit.plans.wrangling import budget_stats, subset_existing
 from reelkit.session import cut_lineage
 from reelkit.sources import proxy
 
@@ -56,6 +56,13 @@ def p1_select(spark, sf_dir):
     return movies(spark, sf_dir).select("id", "title", "vote_count")
 
 
+@register("P2_existing_columns", W("movies_raw") + """
+SELECT id, title, genres, release_date FROM movies_raw""")
+def p2_existing(spark, sf_dir):
+    """The columns asked for, and of the optional ones those that the table has."""
+    return subset_existing(proxy.movies_raw(spark, sf_dir), ["id", "title"], ["genres", "tagline", "release_date"])
+
+
 @register("P4_clean_numeric", W("movies_raw") + """
 SELECT id, budget AS budget_raw,
        CASE WHEN regexp_full_match(trim(budget), """ + NUM_RE + """) THEN CAST(trim(budget) AS DOUBLE) END
