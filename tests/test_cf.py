@@ -154,3 +154,36 @@ def test_predictions_from_the_pairs_asked_equal_those_from_all_pairs(spark):
     assert all(np.allclose(want[(r.u, r.v)], (r.n_common, r.dot, r.sqd)) for r in found)
     full = {r.rating_id: r.pred for r in cf.predict_knn(df, pairs, stats=every).collect()}
     assert all(abs(full[r.rating_id] - r.pred) < 1e-9 for r in cf.predict_knn(df, pairs, few_users=True).collect())
+
+
+def test_co_rated_meets_only_the_raters_asked_for(spark):
+    rng = np.random.default_rng(12)
+    rows = [(f"{u}-{i}-{c}", u, i, float(rng.integers(0, 6))) for u in range(20) for i in range(15) for c in range(2)
+            if rng.random() < (0.3 if c == 0 else 0.1)] + [("n", None, 3, 2.0)]
+    df = spark.createDataFrame(rows, "rating_id string, user_id long, movie_id long, rating double")
+    cells = cf.cell_means(df)
+    pairs = spark.createDataFrame([("p", 3, 1), ("p2", 3, 1), ("q", 4, 2), ("r", 99, 2), ("s", None, 2)],
+                                  "rating_id string, user_id long, movie_id long")
+    r = {(x.user_id, x.movie_id): x.r for x in cells.collect()}
+    stats = {(x.u, x.v): x for x in cf.user_pair_stats(cells).collect()}
+    norm = {u: math.sqrt(stats[(u, u)].dot) for u in range(20) if (u, u) in stats}
+    for target in (2000, 2):
+        rows = cf.co_rated(cells, pairs, target=target).collect()
+        got = {(x.user_id, x.movie_id, x.v): x for x in rows}
+        want = {(u, m, v) for u, m in ((3, 1), (4, 2)) for v in range(20) if (v, m) in r and (u, v) in stats}
+        assert got.keys() == want and len(rows) == len(want) > 4
+        for (u, m, v), x in got.items():
+            s = stats[(u, v)]
+            assert (x.n_common, x.r_v) == (s.n_common, r[(v, m)]) and abs(x.sqd - s.sqd) < 1e-9
+            assert abs((x.sim or 0.0) - (s.dot / (norm[u] * norm[v]) if norm[u] * norm[v] else 0.0)) < 1e-12
+
+
+def test_pairs_of_users_are_shuffled_once_for_cosines(spark):
+    df = spark.createDataFrame(RATINGS, SCHEMA)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = cf.user_cosine(cf.cell_means(df))._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the sizes of movies (once a side) and the co-rating itself, but no join above the pairs' aggregate
+    assert "Join" not in plan[:plan.index("Aggregate")]
