@@ -187,3 +187,11 @@ def test_pairs_of_users_are_shuffled_once_for_cosines(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # the sizes of movies (once a side) and the co-rating itself, but no join above the pairs' aggregate
     assert "Join" not in plan[:plan.index("Aggregate")]
+
+
+def test_weighted_mean_of_null_ratings(spark):
+    rows = [("a", 1, 10, 4.0), ("b", 2, 10, 4.0), ("c", 2, 11, None), ("d", 3, 11, 5.0), ("e", 2, 12, None)]
+    df = spark.createDataFrame(rows, "rating_id string, user_id long, movie_id long, rating double")
+    pairs = spark.createDataFrame([("p", 1, 11), ("q", 1, 12)], "rating_id string, user_id long, movie_id long")
+    # user 3 weighs zero, but knows movie 11; nobody's rating of movie 12 is known
+    assert {r.rating_id: r.pred for r in cf.predict_user_wmean(df, pairs, by="users").collect()} == {"p": 0.0, "q": 3.0}
