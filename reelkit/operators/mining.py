@@ -251,9 +251,9 @@ def elbow(vectors: DataFrame, max_k: int = 8, starts: int = 4, rounds: int = 10)
     return spark.createDataFrame(rows, "k int, inertia double")
 
 
-def knn_graph(vectors: DataFrame, n_neighbors: int = 10, seed: int = 42) -> DataFrame:
-    """Symmetric kNN graph (src, dst, weight) by descent on neighbours (M4 input; ``neighbours.neighbour_graph``)."""
-    near = neighbour_graph(vectors.select(F.col("id").cast("long").alias("id"), "features"), n_neighbors, seed=seed)
+def knn_graph(vectors: DataFrame, n_neighbors: int = 10) -> DataFrame:
+    """Symmetric kNN graph (src, dst, weight), exact by blocks (M4 input; ``neighbours.neighbour_graph``)."""
+    near = neighbour_graph(vectors.select(F.col("id").cast("long").alias("id"), "features"), n_neighbors)
     both = near.select("src", "dst").unionByName(near.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     return both.distinct().withColumn("weight", F.lit(1.0))
 
@@ -266,7 +266,7 @@ def spectral(vectors: DataFrame, k: int = 2, n_neighbors: int = 10, seed: int =
     of several starts.  A point without another one has no edge: it is a
     cluster of its own, numbered from k on by id.
     """
-    g = cut_lineage(knn_graph(vectors, n_neighbors, seed=seed))  # read again and again
+    g = cut_lineage(knn_graph(vectors, n_neighbors))  # read again and again
     e, values = spectral_embedding(g, k, rounds=3, tolerance=1e-2, seed=seed)  # finer than k-means needs
     degrees = g.groupBy(F.col("src").alias("id")).agg(F.sqrt(F.sum("weight")).alias("root"))
     rows = e.join(degrees, "id").select("id", F.lit(None).cast("string").alias("label"),

@@ -1,4 +1,4 @@
-"""A neighbour graph by descent (M4): neighbours of neighbours are met until few links change."""
+"""A neighbour graph (M4): stored blocks of points meet in tasks, exactly."""
 
 from __future__ import annotations
 
@@ -7,67 +7,99 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelkit.operators.relational import global_position, top_n_per_group
-from reelkit.session import cut_lineage, emptied, stored_at
-
-#: Neighbours that the descent keeps of each point, as a multiple of those asked for.
-WIDER = 2
-
-
-def _pairs(batches):
-    """Distances between the neighbours of a point, but for two that were both there in the round before."""
-    for pdf in batches:
-        out = []
-        for ids, fresh, vecs in zip(pdf["ids"], pdf["fresh"], pdf["vecs"], strict=True):
-            ids, fresh, x = np.asarray(ids), np.asarray(fresh, bool), np.vstack(vecs)
-            i, j = np.triu_indices(len(ids), 1)
-            some = (fresh[i] | fresh[j]) & (ids[i] != ids[j])
-            i, j = i[some], j[some]
-            d = ((x[i] - x[j]) ** 2).sum(axis=1)
-            out += [pd.DataFrame({"src": ids[a], "dst": ids[b], "dist": d}) for a, b in ((i, j), (j, i))]
-        if out:
-            yield pd.concat(out, ignore_index=True)
-
-
-def neighbour_graph(vectors: DataFrame, n: int = 10, rounds: int = 15, seed: int = 42, least_change: float = 0.001) -> DataFrame:
-    """(src, dst, dist): about the ``n`` nearest other points of each point of ``vectors`` (id, features), squared distances.
-
-    Descent on neighbours of neighbours: every point starts with random ones;
-    in a round it introduces its neighbours, and the nearest points that have
-    it as theirs, to each other, and every point keeps the nearest it has met.
-    Ends when less than ``least_change`` of all links are new.  A point's list
-    is of fixed length both ways, so a round's work is in proportion to the
-    points, and none meets all others.  Ties go to the smaller id.
+from reelkit.operators.relational import top_n_per_group
+from reelkit.session import cut_lineage
+
+#: A block of points as one row: the bytes of its ids, ascending, and of their vectors.
+_PACKED = "blk int, ids binary, vecs binary"
+_LINKS = "src long, dst long, dist double"
+#: Pairs of points whose distances a task holds at once, and whose vectors it holds besides.
+PAIRS, SIDE_BY_SIDE = 1 << 22, 1 << 16
+
+
+def _packed(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values("id")
+    return pd.DataFrame({"blk": [key[0]], "ids": [pdf["id"].to_numpy(np.int64).tobytes()],
+                         "vecs": [np.vstack(pdf["vec"].to_list()).astype(np.float64).tobytes()]})
+
+
+class _Nearest:
+    """The n nearest other points of every point of a block among those met so far (ties: smaller id)."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, n: int):
+        self.ids, self.x, self.n = ids, x, n
+        self.size, self.worst = (x * x).sum(axis=1), np.full(ids.size, np.inf)  # a point's n-th distance, once it has n
+        self.row, self.dst, self.dist = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+
+    def meet(self, ids: np.ndarray, y: np.ndarray) -> None:
+        """Products of the vectors tell, to rounding, which pairs are near enough; differences give their distances."""
+        size, high = (y * y).sum(axis=1), max(1, PAIRS // ids.size)
+        right = np.column_stack([y, size / -2]).T
+        for top in range(0, self.ids.size, high):
+            at = slice(top, top + high)
+            mine = self.size[at]
+            g = np.column_stack([self.x[at], np.ones(mine.size)]) @ right  # (|x|^2 - distance) / 2
+            slack = 1e-11 * (mine + size.max())
+            least = (mine - self.worst[at] - slack) / 2
+            if np.isinf(least).any() and ids.size > self.n + 1:  # the point itself may be one
+                least = np.maximum(least, np.partition(g, ids.size - 1 - self.n, axis=1)[:, ids.size - 1 - self.n] - slack)
+            r, c = np.nonzero(g >= least[:, None])
+            other = self.ids[r + top] != ids[c]
+            self._keep(r[other] + top, c[other], ids, y)
+
+    def _keep(self, r: np.ndarray, c: np.ndarray, ids: np.ndarray, y: np.ndarray) -> None:
+        for at in range(0, r.size, SIDE_BY_SIDE):
+            p, q = r[at:at + SIDE_BY_SIDE], c[at:at + SIDE_BY_SIDE]
+            d = ((self.x[p] - y[q]) ** 2).sum(axis=1)
+            some = d <= self.worst[p]
+            row, dst, dist = (np.concatenate(z) for z in ((self.row, p[some]), (self.dst, ids[q[some]]), (self.dist, d[some])))
+            order = np.lexsort((dst, dist, row))
+            row = row[order]
+            place = np.arange(row.size) - np.searchsorted(row, row)
+            order, full = order[place < self.n], order[place == self.n - 1]
+            last = row[place == self.n - 1]
+            self.worst[last] = dist[full]
+            self.row, self.dst, self.dist = row[place < self.n], dst[order], dist[order]
+
+
+def _nearest_of_blocks(n: int):
+    """Pairs of packed blocks -> the n nearest of each point of the left block among the right blocks that a task meets."""
+    def points(r, side):
+        ids = np.frombuffer(getattr(r, side + "ids"), np.int64)
+        return ids, np.frombuffer(getattr(r, side + "vecs"), np.float64).reshape(ids.size, -1)
+
+    def run(batches):
+        best: dict[int, _Nearest] = {}
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                if r.a_blk not in best:
+                    ids, x = points(r, "a_")
+                    best[r.a_blk] = _Nearest(ids.copy(), x.copy(), n)
+                best[r.a_blk].meet(*points(r, "b_"))
+        for found in best.values():
+            yield pd.DataFrame({"src": found.ids[found.row], "dst": found.dst, "dist": found.dist})
+    return run
+
+
+def neighbour_graph(vectors: DataFrame, n: int = 10, block_rows: int = 4096) -> DataFrame:
+    """(src, dst, dist): the ``n`` nearest other points of each point of ``vectors`` (id, features), squared distances.
+
+    Points are hashed into blocks of about ``block_rows``, each stored as one
+    packed row.  Every block meets every block in a cross join, which reads the
+    stored rows again; a task holds n links a point of its left blocks, and the
+    distances of ``PAIRS`` pairs.  So what is shuffled grows with the points:
+    the vectors once, and n links a point and task that met it.  The work grows
+    with their square, as matrix products.  Repeated ids are one point; points
+    without a vector, or with a component that is null or not finite, have no links.  Ties go to the smaller id.
     """
-    kept = n * WIDER
-    points = vectors.groupBy("id").agg(F.min(F.col("features").cast("array<double>")).alias("vec"))
-    placed = cut_lineage(global_position(points, [F.asc(F.md5(F.col("id").cast("string"))), F.asc("id")], "place"))
-    total = placed.count()
-    nodes = placed.select("id", "vec")
-    draws = F.explode(F.array(*[F.lit(j) for j in range(min(kept, 4 * total))])).alias("j")
-    start = (placed.select("id", draws).withColumn("place", F.pmod(F.xxhash64("id", "j", F.lit(seed)), F.lit(max(1, total))) + 1)
-             .join(placed.select("place", F.col("id").alias("dst")), "place").filter("id != dst")
-             .select(F.col("id").alias("src"), "dst").distinct())
-    both = start.join(nodes.select(F.col("id").alias("src"), F.col("vec").alias("a")), "src").join(
-        nodes.select(F.col("id").alias("dst"), F.col("vec").alias("b")), "dst")
-    dist = F.aggregate(F.zip_with("a", "b", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, x: s + x)
-    links, path = stored_at(both.select("src", "dst", dist.alias("dist"), F.lit(True).alias("fresh")))
-    for _ in range(rounds):
-        back = top_n_per_group(links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "dist", "fresh"),
-                               "src", [F.asc("dist"), F.asc("dst")], kept, "r").drop("r")
-        near = links.unionByName(back).groupBy("src", "dst").agg(F.max("fresh").alias("fresh"))
-        # a point is its neighbours' neighbour too
-        near = near.unionByName(nodes.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(False).alias("fresh")))
-        lists = (near.join(nodes.select(F.col("id").alias("dst"), "vec"), "dst").groupBy("src")
-                     .agg(F.collect_list(F.struct("dst", "fresh", "vec")).alias("l"))  # twice the list and itself at most
-                     .select(F.col("l.dst").alias("ids"), F.col("l.fresh").alias("fresh"), F.col("l.vec").alias("vecs")))
-        met = lists.mapInPandas(_pairs, "src long, dst long, dist double").withColumn("fresh", F.lit(True))
-        every = (links.withColumn("fresh", F.lit(False)).unionByName(met)
-                      .groupBy("src", "dst").agg(F.min("dist").alias("dist"), F.min("fresh").alias("fresh")))
-        old = path
-        links, path = stored_at(top_n_per_group(every, "src", [F.asc("dist"), F.asc("dst")], kept, "r").drop("r"))
-        emptied(vectors.sparkSession, old)
-        changed, many = links.agg(F.sum(F.col("fresh").cast("int")), F.count(F.lit(1))).first()
-        if (changed or 0) <= least_change * many:
-            break
+    points = (vectors.select(F.col("id").cast("long").alias("id"), F.col("features").cast("array<double>").alias("vec"))
+                     .filter("id is not null and vec is not null and forall(vec, x -> x is not null and abs(x) < double('inf'))").groupBy("id").agg(F.min("vec").alias("vec")))
+    points = cut_lineage(points)
+    blocks = max(1, -(-points.count() // block_rows))
+    placed = points.withColumn("blk", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    packed = cut_lineage(placed.repartition(min(blocks, 4000), "blk").groupBy("blk").applyInPandas(_packed, _PACKED))
+    left, right = (packed.select(*[F.col(c).alias(side + c) for c in packed.columns]) for side in ("a_", "b_"))
+    # a left partition's pairs lie side by side; wherever they are cut, the last step below is exact
+    pairs = left.crossJoin(right).coalesce(max(1, left.rdd.getNumPartitions()))
+    links = pairs.mapInPandas(_nearest_of_blocks(n), _LINKS)
     return top_n_per_group(links, "src", [F.asc("dist"), F.asc("dst")], n, "r").select("src", "dst", "dist")
