@@ -12,6 +12,7 @@ from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 #: Entries of a worker's cache, at about 200 bytes each.
 CACHE_PARTS = 1_000_000
@@ -123,24 +124,74 @@ class PartCache(dict):
 # ------------------------------------------------------------------ byte-level BPE (tokenizers library)
 
 
+def _usual(path: str) -> bool:
+    """Whether a file's texts are taken as they are and cut by the byte-level pre-tokenizer's own expression."""
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    cut = spec.get("pre_tokenizer") or {}
+    return not spec.get("normalizer") and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+
+
+def _latin_word(part: str) -> bool:
+    """Whether a part is Latin letters, perhaps after a space: one word for the byte-level pre-tokenizer's expression,
+    so that the library's model alone encodes it."""
+    word = part[1:] if part[:1] == " " else part
+    return word.isalpha() and (word.isascii() or max(word) < "ɐ")
+
+
+def _bytes_in(ranges: list[tuple[int, int]]) -> np.ndarray:
+    table = np.zeros(256, dtype=bool)
+    for low, high in ranges:
+        table[low:high + 1] = True
+    return table
+
+
+#: Bytes: ASCII white space, other visible ASCII, letters, and what begins U+00C0 to U+07FF, none of which is white space.
+_BLANK, _SEEN = _bytes_in([(0x09, 0x0D), (0x1C, 0x20)]), _bytes_in([(0x21, 0x7E)])
+_LETTER, _LATIN = _bytes_in([(0x41, 0x5A), (0x61, 0x7A)]), _bytes_in([(0xC3, 0xDF)])
+
+
 class ByteLevelParts:
     """Ids of whole texts under a byte-level BPE file of the tokenizers library.
 
     Its pre-tokenizer always starts a new token at a single space that stands
     between two characters that are no white space, and at a single line feed
-    that does, on both sides; a special token's string holds neither.  Texts
-    with any other white space beside a space go to the library whole.
+    that does, on both sides; a special token's string holds neither.  Its
+    usual expression also parts a letter from a mark after it; marks of special
+    strings are left out.  A word of Latin letters, which that expression never
+    parts, goes to the library's model at once, its bytes as the characters that
+    the pre-tokenizer shows them by.  Texts with any other white space beside a
+    space go to the library whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = library_tokenizer(path)
         self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        special = "".join(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.usual = _usual(path)
+        self.marks = _bytes_in([(ord(m), ord(m)) for m in ".,;:!?" if self.usual and m not in special])
+        kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # bytes that are shown as themselves
+        self.shown = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in kept)}
         feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.feed = feed[0] if len(feed) == 1 else None
         self.first = PartCache(self._encode, lambda p: self._split(p, self.first))
         self.later = PartCache(lambda ps: self._encode([" " + p for p in ps]), lambda p: self._split(p, self.later))
 
     def _encode(self, parts: list[str]) -> list[bytes]:
+        if not self.usual:
+            return self._piped(parts)
+        kind, model, shown, space = self.kind, self.tokenizer.model.tokenize, self.shown, chr(self.shown[32])
+        out = [array(kind, [t.id for t in model(p.replace(" ", space) if p.isascii() else p.encode().decode("latin-1").translate(shown))]).tobytes()
+               if _latin_word(p) else None for p in parts]
+        others = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(others, self._piped([parts[i] for i in others]), strict=True):
+            out[i] = ids
+        return out
+
+    def _piped(self, parts: list[str]) -> list[bytes]:
+        """Parts encoded by all steps of the library."""
         kind, out = self.kind, []
         for at in range(0, len(parts), JOINED_PARTS):
             some = parts[at:at + JOINED_PARTS]
@@ -176,15 +227,58 @@ class ByteLevelParts:
             out += [(of, x[:-1]), (self.first, x[-1])] if _plain_stem(x) else [(of, x)]
         return out
 
+    def _cuts(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places where the parts of texts begin, texts with ASCII white space or an end beside a space): the texts'
+        UTF-8 bytes follow each other in ``data``, from one of ``ends`` to the next."""
+        begins = np.zeros(len(data) + 1, dtype=bool)
+        begins[ends] = True  # ends of texts, and the place after the last
+        beside = np.concatenate([[32], data, [32]])  # the byte before place i is beside[i], the one after it beside[i + 2]
+        at = np.flatnonzero(data == 32)
+        bad = _BLANK[beside[at]] | _BLANK[beside[at + 2]] | begins[at] | begins[at + 1]
+        odd = np.unique(np.searchsorted(ends, at[bad], side="right") - 1)
+        feeds = np.flatnonzero(data == 10)
+        feeds = feeds[~(begins[feeds] | begins[feeds + 1])]
+        before, after = beside[feeds], beside[feeds + 2]
+        two = (before >= 0x80) & _LATIN[beside[np.maximum(feeds - 1, 0)]]
+        feeds = feeds[(_SEEN[before] | two) & (_SEEN[after] | _LATIN[after])]
+        marks = np.flatnonzero(self.marks[data])
+        begins[marks[_LETTER[beside[marks]]]] = True
+        begins[at] = begins[feeds] = begins[feeds + 1] = True
+        begins[-1] = False
+        return np.flatnonzero(begins), odd
+
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """Unsigned 16-bit ids of each text, or 32-bit ones where the vocabulary needs them."""
-        cut = [t.split(" ") for t in texts]
-        heads = self.first.values_of([parts[:1] for parts in cut], CACHE_PARTS // 4)
-        rest = self.later.values_of([parts[1:] for parts in cut], CACHE_PARTS)
-        whole = [i for i, (h, r) in enumerate(zip(heads, rest, strict=True)) if None in h or None in r]
-        refused = dict(zip(whole, self._encode([texts[i] for i in whole]), strict=True))
-        return [np.frombuffer(refused[i] if i in refused else b"".join(h + r), dtype=self.kind)
-                for i, (h, r) in enumerate(zip(heads, rest, strict=True))]
+        """Unsigned 16-bit ids of each text, or 32-bit ones where the vocabulary needs them.
+
+        The texts are cut as bytes, before spaces and some marks and around
+        line feeds; a part that comes often in them is looked up once."""
+        rows = pa.array(texts, pa.large_string())
+        ends = np.frombuffer(rows.buffers()[1], np.int64, len(texts) + 1) if texts else np.zeros(1, np.int64)
+        if not ends[-1]:
+            return [np.empty(0, self.kind)] * len(texts)
+        data = np.frombuffer(rows.buffers()[2], np.uint8, ends[-1])
+        begins, odd = self._cuts(data, ends)
+        parts = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(np.append(begins, len(data))), rows.buffers()[2]).dictionary_encode()
+        codes, known = parts.indices.to_numpy(), parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if "\n" not in self.first:
+            self.first.learn({"\n"})
+        spaced = np.fromiter((p[0] == " " for p in known), bool, len(known))
+        (heads,) = self.first.values_of([[p for p in known if p[0] != " "]], CACHE_PARTS // 4)
+        (rest,) = self.later.values_of([[p[1:] for p in known if p[0] == " "]], CACHE_PARTS)
+        place = np.where(spaced, np.cumsum(spaced) - 1 + len(heads), np.cumsum(~spaced) - 1)
+        values = heads + rest
+        of = np.searchsorted(begins, ends)  # each text's first part
+        unknown = np.fromiter((v is None for v in values), bool, len(values))[place]
+        if unknown.any():
+            odd = np.union1d(odd, np.searchsorted(of, np.flatnonzero(unknown[codes]), side="right") - 1)
+        joined = pa.array(values, pa.large_binary()).fill_null(b"").take(pa.array(place[codes]))
+        width = np.dtype(self.kind).itemsize
+        to = np.frombuffer(joined.buffers()[1], np.int64, len(codes) + 1)[of] // width
+        ids = np.frombuffer(joined.buffers()[2], self.kind, to[-1])
+        out = [ids[a:b] for a, b in zip(to[:-1].tolist(), to[1:].tolist(), strict=True)]
+        for i, one in zip(odd.tolist(), self._encode([texts[i] for i in odd]), strict=True):
+            out[i] = np.frombuffer(one, self.kind)
+        return out
 
 
 # ------------------------------------------------------------------ counts under any file

@@ -137,3 +137,33 @@ def test_shard_numbers_of_many_partitions():
                                         "matrix": [wavelet.encode(np.array([9, 2], np.uint16))]}, schema=wavelet._FILES)
     (out,) = wavelet._read([batch])
     assert out.column("shard").to_pylist() == [shard] and out.column("n_tokens").to_pylist() == [2]
+
+
+def test_random_texts_of_awkward_characters_are_cut_as_the_library_cuts_them():
+    rng = np.random.default_rng(12)
+    signs = [" ", " ", " ", "\n", "\n", "a", "B", "z", "'s", "'", ".", ",", ":", "!", "é", "É", "ʼ", "ɐ", "ª", "²", "7", "\t", "\r", "\x1c", "\x85", " ", " ",
+             "　", "́", "Ġ", "日", "ſ", "ß", "😀", "<|endoftext|>", "<|", "|>", "\0", "_", "word", "$$", "​", "Ω"]
+    texts = ["".join(rng.choice(signs, n)) for n in rng.integers(0, 14, 20_000)]
+    t = vocab.ByteLevelParts(vocab.vocabulary_path("byte_bpe_50k.json"))
+    want = [e.ids for e in t.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    for some in (range(0, 9000), range(9000, 20_000), range(0, 20_000, 7)):
+        assert [x.tolist() for x in t.ids([texts[i] for i in some])] == [want[i] for i in some]
+    assert t.ids([]) == [] and [len(x) for x in t.ids(["", ""])] == [0, 0]
+
+
+def test_words_that_go_to_the_model_alone():
+    t = vocab.ByteLevelParts(vocab.vocabulary_path("byte_bpe_50k.json"))
+    words = [chr(c) + x for c in range(0x41, 0x260) if chr(c).isalpha() for x in ("", "b", "é")]
+    words += [" " + w for w in words] + ["internationalisation" * 9, " ñciónmenteue"]
+    assert any(map(vocab._latin_word, words)) and not any(map(vocab._latin_word, ["", " ", "a b", "\nab", "ab.", "日", "a1", "  a"]))
+    assert [np.frombuffer(x, t.kind).tolist() for x in t._encode(words)] == [
+        e.ids for e in t.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+
+def test_a_part_that_comes_often_is_looked_up_once(monkeypatch):
+    asked, values_of = [], vocab.PartCache.values_of
+    monkeypatch.setattr(vocab.PartCache, "values_of", lambda self, cut, parts: asked.extend(map(len, cut)) or values_of(self, cut, parts))
+    t = vocab.ByteLevelParts(vocab.vocabulary_path("byte_bpe_50k.json"))
+    texts = ["some words, come often.\nsome words come again: often"] * 300
+    assert [x.tolist() for x in t.ids(texts)] == [e.ids for e in t.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert sum(asked) < 30
